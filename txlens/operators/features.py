@@ -46,13 +46,14 @@ def customer_features(df):
     )
 
 
-def with_product_frequency(df, default=0):
-    return attach(df, product_frequency(df), "StockCode", {"ProductFrequency": default})
+def with_product_frequency(df, source=None):
+    """``source``: the rows to count, where they are cheaper to read than ``df``."""
+    return attach(df, product_frequency(source or df), "StockCode", {"ProductFrequency": 0})
 
 
-def with_customer_features(df):
+def with_customer_features(df, source=None):
     """Mean, lines, quantity and sample deviation of the row's customer."""
-    return attach(df, customer_features(df), "CustomerID")
+    return attach(df, customer_features(source or df), "CustomerID")
 
 
 def with_dashboard_features(df):

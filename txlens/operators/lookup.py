@@ -56,9 +56,9 @@ def apply_codes(df, codes, column, name, default):
     return attach(df, codes, column, {name: default})
 
 
-def encode_by_frequency(df, column, name):
+def encode_by_frequency(df, column, name, source=None):
     """Frequency rank of the label; NULL gets the number of labels."""
-    codes = stage(frequency_codes(df, column, name))
+    codes = stage(frequency_codes(source or df, column, name))
     labels = codes.count()
     return attach(df, codes, column, {name: float(labels)}, rows=labels)
 

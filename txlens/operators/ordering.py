@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from txlens.functions.money import money_sum, round_half_up
 from txlens.staging import stage
 
 SHALLOW_ROWS = 10_000
@@ -26,30 +27,36 @@ def preview(df, n, *key):
     return df.orderBy(*key).limit(n)
 
 
-def running_total(df, order, name, weight=None):
-    """Add the running sum of ``weight`` (default: 1 per row) in the given order."""
-    amount = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+def _ranges(df, order, amount):
+    """Staged rows with their range number, and (range, sum before it, own sum)."""
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage(
         df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
     )
     # One row per range: the only window without a partition sees at most `ranges` rows.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(F.sum(amount).alias("_total"))
-        .select("_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    )
+    totals = ranged.groupBy("_range").agg(F.sum(amount).alias("_own"))
+    before = F.coalesce(F.sum("_own").over(earlier), F.lit(0))
+    return ranged, totals.withColumn("_before", before)
+
+
+def _total_within(ranged, offsets, order, amount, name):
     within = (
         Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
         ranged.join(F.broadcast(offsets), "_range")
         .withColumn(name, F.col("_before") + F.sum(amount).over(within))
-        .drop("_range", "_before")
+        .drop("_range", "_before", "_own")
     )
 
 
+def running_total(df, order, name, weight=None):
+    """Add the running sum of ``weight`` (default: 1 per row) in the given order."""
+    amount = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    return _total_within(*_ranges(df, order, amount), order, amount, name)
+
+
 def row_number_global(df, order, name="row_id"):
     """Positions 1, 2, 3, … over the whole table."""
     return running_total(df, order, name)
@@ -67,7 +74,13 @@ def page(df, order, number, size=50, shallow=SHALLOW_ROWS):
     first = (number - 1) * size
     if first + size <= shallow:
         return df.orderBy(*order).offset(first).limit(size)
-    numbered = row_number_global(df, order, "_position")
+    one = F.lit(1).cast("bigint")
+    ranged, offsets = _ranges(df, order, one)
+    # Only the ranges that the page lies in are sorted.
+    touched = offsets.where(
+        (F.col("_before") < first + size) & (F.col("_before") + F.col("_own") > first)
+    )
+    numbered = _total_within(ranged, touched, order, one, "_position")
     return (
         numbered.where(F.col("_position").between(first + 1, first + size))
         .orderBy("_position")
@@ -106,13 +119,11 @@ def revenue_delta(df, *ties):
     Halves follow (InvoiceDate, ties); with an odd number the extra row is in the
     second half. Only rows of the one moment at the middle are put in order.
     """
-    from txlens.functions.money import money_sum, round_half_up
-
     moments = df.groupBy("InvoiceDate").agg(
         F.count("*").alias("_rows"), money_sum("TotalPrice").alias("_revenue")
     )
     moments = running_total(moments, ["InvoiceDate"], "_upto", "_rows")
-    rows = df.count()
+    rows = moments.agg(F.max("_upto")).first()[0] or 0
     middle = rows // 2
     split = moments.where(
         (F.col("_upto") > middle) & (F.col("_upto") - F.col("_rows") < middle)

@@ -66,18 +66,28 @@ def distinct_rows(df, columns, n):
     return df.select(*columns).distinct().orderBy(*columns).limit(n)
 
 
+def _binned(df, column, bins):
+    """Values with their bin 1..bins, and the lowest and highest value of all."""
+    values = df.where(F.col(column).isNotNull()).withColumn("_value", F.col(column).cast("double"))
+    edges = values.agg(
+        F.struct(F.min("_value").alias("low"), F.max("_value").alias("high"))
+    ).scalar()
+    low, high = edges.getField("low"), edges.getField("high")
+    position = F.floor(F.try_divide((F.col("_value") - low) * bins, high - low))
+    number = F.least(F.coalesce(position, F.lit(0)).cast("int") + 1, F.lit(bins))
+    return values.withColumn("Bin", number), low, high
+
+
+def _all_bins(spark, bins):
+    return spark.range(1, bins + 1).select(F.col("id").cast("int").alias("Bin"))
+
+
 def histogram(df, column, bins):
     """Equal-width bins from minimum to maximum; the maximum belongs to the last bin."""
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    edges = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    low, high = edges.select("lo").scalar(), edges.select("hi").scalar()
-    position = F.coalesce(F.floor(F.try_divide((F.col("v") - low) * bins, high - low)), F.lit(0))
-    counts = values.groupBy(
-        F.least(position.cast("int") + 1, F.lit(bins)).alias("Bin")
-    ).agg(F.count("*").alias("Count"))
-    frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("Bin"))
+    binned, low, high = _binned(df, column, bins)
+    counts = binned.groupBy("Bin").agg(F.count("*").alias("Count"))
     width = (high - low) / bins
-    return frame.join(counts, "Bin", "left").select(
+    return _all_bins(df.sparkSession, bins).join(counts, "Bin", "left").select(
         "Bin",
         (low + (F.col("Bin") - 1) * width).alias("LowEdge"),
         (low + F.col("Bin") * width).alias("HighEdge"),
@@ -87,18 +97,12 @@ def histogram(df, column, bins):
 
 def histogram_by_status(df, column, bins):
     """The outline of a violin: one histogram per class over a common range."""
-    values = df.where(F.col(column).isNotNull()).select(
-        F.col("anomaly"), F.col(column).cast("double").alias("v")
-    )
-    edges = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    low, high = edges.select("lo").scalar(), edges.select("hi").scalar()
-    position = F.coalesce(F.floor(F.try_divide((F.col("v") - low) * bins, high - low)), F.lit(0))
-    counts = values.groupBy(F.least(position.cast("int") + 1, F.lit(bins)).alias("Bin")).agg(
+    binned, _, _ = _binned(df, column, bins)
+    counts = binned.groupBy("Bin").agg(
         F.count_if(F.col("anomaly") == 0).alias("Normal"),
         F.count_if(F.col("anomaly") == 1).alias("Anomaly"),
     )
-    frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("Bin"))
-    return frame.join(counts, "Bin", "left").na.fill(0).orderBy("Bin")
+    return _all_bins(df.sparkSession, bins).join(counts, "Bin", "left").na.fill(0).orderBy("Bin")
 
 
 def box_summary(df, column, limit=None):

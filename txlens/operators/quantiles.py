@@ -1,9 +1,10 @@
 """Exact quantiles with linear interpolation, for columns of any size.
 
-Up to ``limit`` rows the built-in ``percentile`` does it. Beyond that its state (every
-distinct value in one buffer) is too large, so an approximate quantile narrows the
-search to a band of values around each wanted rank, the rows outside the band are
-only counted, and the band is narrowed again until its distinct values are few.
+Up to ``limit`` values per column the built-in ``percentile`` does it. Beyond that its
+state (every distinct value in one buffer) is too large. Then an approximate quantile
+narrows each search to a band of values around the wanted rank, the rows below the band
+are only counted, and the band is narrowed again until few rows are left in it. Every
+step is one pass for all columns and probabilities together.
 """
 
 from math import ceil, floor
@@ -12,60 +13,102 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 DIRECT_ROWS = 1_000_000
-ACCURACY = 100_000
+ACCURACY = 10_000
 
 
-def _pick(df, column, low, high, below, ranks, limit, accuracy):
-    """Values at the given 0-based ranks, all of which lie in [low, high]."""
-    band = df.where(F.col(column).between(low, high)).select(F.col(column).alias("v"))
-    rows = band.count()
-    distinct = band.groupBy("v").count()
-    if low == high:
-        return {rank: low for rank in ranks}
-    if rows > limit and distinct.limit(limit + 1).count() > limit:
+class _Search:
+    """Where the values of one column at one or two neighbouring ranks are looked for."""
+
+    def __init__(self, column, size, probability, low, high):
+        self.column, self.position = column, (size - 1) * probability
+        self.ranks = sorted({floor(self.position), ceil(self.position)})
+        self.low, self.high, self.below, self.inside = low, high, 0, size
+        self.stuck = False
+
+    def in_band(self):
+        return F.col(self.column).between(self.low, self.high)
+
+    def open(self, limit):
+        return self.inside > limit and self.low < self.high and not self.stuck
+
+    def bounds(self, accuracy):
         margin = 4 / accuracy
-        first = max(0.0, (ranks[0] - below) / rows - margin)
-        last = min(1.0, (ranks[-1] - below) / rows + margin)
-        inner = band.agg(F.percentile_approx("v", [first, last], accuracy).alias("q"),
-                         F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-        tighter = (inner["lo"] if first == 0.0 else inner["q"][0],
-                   inner["hi"] if last == 1.0 else inner["q"][1])
-        counts = band.agg(F.count_if(F.col("v") < tighter[0]).alias("under"),
-                          F.count_if(F.col("v") <= tighter[1]).alias("upto")).first()
-        covers = below + counts["under"] <= ranks[0] and ranks[-1] < below + counts["upto"]
-        if not covers:
-            raise ValueError(f"quantile band of {column} misses its rank; raise the accuracy")
-        if tighter != (low, high):
-            return _pick(df, column, *tighter, below + counts["under"], ranks, limit, accuracy)
-    # Here at most `limit` distinct values are left.
-    upto = F.sum("count").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    steps = distinct.withColumn("upto", upto + below)
-    found = steps.agg(*[F.min(F.when(F.col("upto") > rank, F.col("v"))) for rank in ranks])
-    return dict(zip(ranks, found.first()))
+        first = (self.ranks[0] - self.below) / self.inside - margin
+        last = (self.ranks[-1] - self.below) / self.inside + margin
+        values = F.percentile_approx(
+            F.when(self.in_band(), F.col(self.column)), [max(first, 0.0), min(last, 1.0)], accuracy
+        )
+        return F.struct(
+            (F.lit(self.low) if first <= 0 else values[0]).alias("low"),
+            (F.lit(self.high) if last >= 1 else values[1]).alias("high"),
+        )
+
+    def counts(self, low, high):
+        value = F.col(self.column)
+        return F.struct(F.count_if(value < low).alias("below"),
+                        F.count_if(value.between(low, high)).alias("inside"))
+
+    def narrow(self, low, high, below, inside):
+        if below > self.ranks[0] or self.ranks[-1] >= below + inside:
+            raise ValueError(f"quantile band of {self.column} misses its rank")
+        self.stuck = (low, high) == (self.low, self.high)
+        self.low, self.high, self.below, self.inside = low, high, below, inside
+
+    def value(self, found):
+        lower, upper = found[self.ranks[0]], found[self.ranks[-1]]
+        if lower == upper:
+            return float(lower)
+        return (self.ranks[-1] - self.position) * lower + (self.position - self.ranks[0]) * upper
+
+
+def _one_pass(df, parts):
+    return df.agg(*[part.alias(str(i)) for i, part in enumerate(parts)]).first()
+
+
+def _values_at_ranks(df, searches):
+    """One pass over the rows of all bands; equal values are counted before they move."""
+    members = F.array(*[
+        F.when(search.in_band(), F.struct(F.lit(i).alias("i"), F.col(search.column).alias("v")))
+        for i, search in enumerate(searches)
+    ])
+    steps = df.select(F.inline(F.filter(members, lambda m: m.isNotNull()))).groupBy("i", "v").count()
+    running = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    steps = steps.withColumn("upto", F.sum("count").over(running))
+    wanted = F.lit(False)
+    for i, search in enumerate(searches):
+        for rank in search.ranks:
+            place = rank - search.below
+            wanted = wanted | ((F.col("i") == i) & (F.col("upto") > place)
+                               & (F.col("upto") - F.col("count") <= place))
+    rows = steps.where(wanted).collect()
+    for i, search in enumerate(searches):
+        own = sorted((row["upto"] + search.below, row["v"]) for row in rows if row["i"] == i)
+        yield search, {rank: next(v for upto, v in own if upto > rank) for rank in search.ranks}
 
 
 def exact_quantiles(df, columns, probabilities, limit=DIRECT_ROWS, accuracy=ACCURACY):
     """``{column: [value per probability]}``; NULLs are left out, no rows gives None."""
     columns, probabilities = list(columns), list(probabilities)
-    sizes = df.agg(*[F.count(name).alias(name) for name in columns]).first().asDict()
-    small = [name for name in columns if sizes[name] <= limit]
+    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    known = {name: row for name, row in zip(columns, _one_pass(numbers, [
+        F.struct(F.count(n).alias("size"), F.min(n).alias("low"), F.max(n).alias("high"))
+        for n in columns
+    ]))}
+    small = [name for name in columns if known[name]["size"] <= limit]
     result = {}
     if small:
-        row = df.agg(*[F.percentile(name, probabilities).alias(name) for name in small]).first()
-        result = {name: row[name] or [None] * len(probabilities) for name in small}
-    for name in columns:
-        if name in result:
-            continue
-        edges = df.agg(F.min(name), F.max(name)).first()
-        values = []
-        for probability in probabilities:
-            position = (sizes[name] - 1) * probability
-            ranks = sorted({floor(position), ceil(position)})
-            found = _pick(df, name, edges[0], edges[1], 0, ranks, limit, accuracy)
-            lower, upper = found[ranks[0]], found[ranks[-1]]
-            if lower == upper:
-                values.append(float(lower))
-            else:
-                values.append((ranks[-1] - position) * lower + (position - ranks[0]) * upper)
-        result[name] = values
+        row = _one_pass(numbers, [F.percentile(name, probabilities) for name in small])
+        result = {name: values or [None] * len(probabilities) for name, values in zip(small, row)}
+    searches = [
+        _Search(name, known[name]["size"], p, known[name]["low"], known[name]["high"])
+        for name in columns if name not in result for p in probabilities
+    ]
+    while wide := [search for search in searches if search.open(limit)]:
+        bands = _one_pass(numbers, [search.bounds(accuracy) for search in wide])
+        counts = _one_pass(numbers, [s.counts(*band) for s, band in zip(wide, bands)])
+        for search, band, count in zip(wide, bands, counts):
+            search.narrow(*band, *count)
+    if searches:
+        for search, found in _values_at_ranks(numbers, searches):
+            result.setdefault(search.column, []).append(search.value(found))
     return result

@@ -24,13 +24,17 @@ def clean(raw):
 
 
 def build_features(cleaned, limits=DEFAULTS):
-    """Cleaned lines to the featured layer. Reads its input once per lookup table."""
+    """Cleaned lines to the featured layer.
+
+    Each of the three lookup tables reads its own few columns of ``cleaned``; the rows
+    themselves are read once and not shuffled unless a lookup table is large.
+    """
     return (
         cleaned.transform(features.with_time_features)
         .transform(features.with_revenue_category, limits)
-        .transform(encode_by_frequency, "Country", "CountryEncoded")
-        .transform(features.with_product_frequency)
-        .transform(features.with_customer_features)
+        .transform(encode_by_frequency, "Country", "CountryEncoded", cleaned)
+        .transform(features.with_product_frequency, cleaned)
+        .transform(features.with_customer_features, cleaned)
         .transform(features.fill_defaults)
         .transform(features.cast_numeric)
     )
