@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from txlens.functions.rules import anomaly_reason
 from txlens.operators import cleaning, features
 from txlens.operators.anomalies import flag_anomalies
-from txlens.plans.stages import build_features, clean
+from txlens.plans.stages import ROW_KEY, build_features, clean
 from txlens.sources.retail_tables import TABLE_LIMITS, retail_raw
 
 
@@ -19,7 +19,7 @@ def priced(spark, folder):
 
 
 def cleaned(spark, folder):
-    return clean(raw(spark, folder))
+    return clean(raw(spark, folder), list(ROW_KEY))
 
 
 def timed(spark, folder):

@@ -753,9 +753,10 @@ def _pinned_scores(s, d):
 add("pinned_forest_scores", "E5",
     lambda s, d: _pinned_scores(s, d).select("RowKey", "score"), _forest_sql())
 add("isolation_forest_nodes", "E4",
-    lambda s, d: forest.fit_isolation_forest(cleaned(s, d)))
+    lambda s, d: forest.fit_isolation_forest(
+        stage(cleaned(s, d).select("RowKey", *FOREST_FEATURES))))
 add("isolation_forest_lines", "E4 E5 E6 P3",
-    lambda s, d: stages.detect(featured(s, d), TABLE_LIMITS, ("RowKey",)).select(
+    lambda s, d: stages.detect(stage(featured(s, d)), TABLE_LIMITS, ("RowKey",)).select(
         "RowKey", "anomaly", "anomaly_score", "anomaly_reason"))
 
 _numbers = ["Quantity", "UnitPrice", "TotalPrice", "Hour", "Day", "MonthNum", "WeekdayNum",
@@ -801,7 +802,7 @@ add("featured_lines", "P2",
 add("positional_join", "H1",
     lambda s, d: (lambda f: joins.positional_join(
         f, anomalies.only_anomalies(f), ["InvoiceDate", "RowKey"], ["InvoiceDate", "RowKey"])
-    )(flagged(s, d)),
+    )(stage(flagged(s, d))),
     """SELECT row_id, Quantity, UnitPrice, TotalPrice, b.anomaly
        FROM (SELECT *, row_number() OVER (ORDER BY InvoiceDate, RowKey) AS row_id FROM flagged) a
        JOIN (SELECT anomaly, row_number() OVER (ORDER BY InvoiceDate, RowKey) AS row_id
@@ -813,14 +814,14 @@ add("joined_anomalies", "H2",
     "SELECT RowKey, CustomerID, Country, TotalPrice FROM flagged WHERE anomaly = 1")
 add("consistency_check", "H5 Q16",
     lambda s, d: (lambda f: joins.consistency_check(
-        f, anomalies.only_anomalies(f).drop("score"), "RowKey"))(flagged(s, d)),
+        f, anomalies.only_anomalies(f).drop("score"), "RowKey"))(stage(flagged(s, d))),
     """SELECT count(*) AS TotalRecords, count(*) FILTER (anomaly = 1) AS TotalDocuments,
               20 AS TotalColumns, 19 AS TotalFields, 1 AS ColumnsOnlyInTable,
               0 AS FieldsOnlyInDocuments, 'VALID' AS Status, TRUE AS SubsetByCount,
               0::BIGINT AS MissingKeys, TRUE AS ReadyForDashboard FROM flagged""")
 add("verification_report", "H6",
     lambda s, d: (lambda f: joins.verification_report(
-        f, anomalies.only_anomalies(f), ["RowKey"]))(flagged(s, d)).select(
+        f, anomalies.only_anomalies(f), ["RowKey"]))(stage(flagged(s, d))).select(
         F.col("relational.total_records").alias("TotalRecords"),
         F.array_join("relational.columns", ",").alias("Columns"),
         F.col("documents.total_documents").alias("TotalDocuments"),
@@ -833,7 +834,7 @@ add("verification_report", "H6",
               0::BIGINT AS MissingKeys FROM flagged""")
 add("integration_stats", "H7",
     lambda s, d: (lambda f: joins.integration_stats(
-        f, anomalies.only_anomalies(f)))(flagged(s, d)),
+        f, anomalies.only_anomalies(f)))(stage(flagged(s, d))),
     f"""SELECT count(*) AS TotalRecords, count(*) FILTER (anomaly = 1) AS TotalDocuments,
                {rounded('count(*) FILTER (anomaly = 1) / count(*) * 100', 2)} AS AnomalyPercent,
                'VALID' AS IntegrationStatus FROM flagged""")
@@ -861,8 +862,7 @@ add("total_price_quantiles", "E6 F46",
     lambda s, d: (lambda q: cleaned(s, d).agg(
         F.count("*").alias("Rows"), *[F.lit(v).alias(f"Q{i}") for i, v in enumerate(q)])
     )([round(v, 6) for v in quantiles.exact_quantiles(
-        stage(cleaned(s, d).select("TotalPrice")), ["TotalPrice"], [0.02, 0.5, 0.98],
-        limit=1000)["TotalPrice"]]),
+        cleaned(s, d), ["TotalPrice"], [0.02, 0.5, 0.98], limit=1000)["TotalPrice"]]),
     """SELECT count(*) AS Rows, round(quantile_cont(TotalPrice, 0.02), 6) AS Q0,
               round(quantile_cont(TotalPrice, 0.5), 6) AS Q1,
               round(quantile_cont(TotalPrice, 0.98), 6) AS Q2 FROM timed""")

@@ -9,8 +9,9 @@ def strip_column_names(df):
     return df.toDF(*[name.strip() for name in df.columns])
 
 
-def drop_incomplete(df):
-    return df.dropna()
+def drop_incomplete(df, columns=None):
+    """Drop rows with an empty value, in any column or in the given ones."""
+    return df.dropna(subset=columns)
 
 
 def filter_positive_quantity(df):

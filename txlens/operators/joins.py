@@ -9,11 +9,12 @@ from txlens.operators.ordering import row_number_global, top_k
 
 def positional_join(left, right, left_order, right_order):
     """Pair row 1 with row 1, row 2 with row 2, … of two explicitly ordered tables."""
-    rows = row_number_global(left, left_order).select(
-        "row_id", "Quantity", "UnitPrice", "TotalPrice"
-    )
-    flags = row_number_global(right, right_order).select("row_id", "anomaly")
-    return rows.join(flags, "row_id")
+    def numbered(df, order, *columns):
+        needed = df.select(*dict.fromkeys([*order, *columns]))
+        return row_number_global(needed, order).select("row_id", *columns)
+
+    rows = numbered(left, left_order, "Quantity", "UnitPrice", "TotalPrice")
+    return rows.join(numbered(right, right_order, "anomaly"), "row_id")
 
 
 def join_anomalies(transactions, anomalies, *key):

@@ -4,7 +4,8 @@ Up to ``limit`` values per column the built-in ``percentile`` does it. Beyond th
 state (every distinct value in one buffer) is too large. Then an approximate quantile
 narrows each search to a band of values around the wanted rank, the rows below the band
 are only counted, and the band is narrowed again until few rows are left in it. Every
-step is one pass for all columns and probabilities together.
+step is one pass for all columns and probabilities together, over a staged copy of just
+these columns, so that an expensive source is evaluated once.
 """
 
 from math import ceil, floor
@@ -12,7 +13,9 @@ from math import ceil, floor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 1_000_000
+from txlens.staging import stage
+
+DIRECT_ROWS = 100_000
 ACCURACY = 10_000
 
 
@@ -89,7 +92,7 @@ def _values_at_ranks(df, searches):
 def exact_quantiles(df, columns, probabilities, limit=DIRECT_ROWS, accuracy=ACCURACY):
     """``{column: [value per probability]}``; NULLs are left out, no rows gives None."""
     columns, probabilities = list(columns), list(probabilities)
-    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    numbers = stage(df.select(*[F.col(name).cast("double").alias(name) for name in columns]))
     known = {name: row for name, row in zip(columns, _one_pass(numbers, [
         F.struct(F.count(n).alias("size"), F.min(n).alias("low"), F.max(n).alias("high"))
         for n in columns

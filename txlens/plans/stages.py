@@ -12,11 +12,14 @@ ROW_KEY = ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "
            "CustomerID", "Country")
 
 
-def clean(raw):
-    """Raw invoice lines to complete, sold and priced lines with their total."""
+def clean(raw, required=None):
+    """Raw invoice lines to complete, sold and priced lines with their total.
+
+    ``required``: the columns that make a line complete; all columns by default.
+    """
     return (
         raw.transform(cleaning.strip_column_names)
-        .transform(cleaning.drop_incomplete)
+        .transform(cleaning.drop_incomplete, required)
         .transform(cleaning.filter_positive_quantity)
         .transform(cleaning.filter_positive_price)
         .transform(cleaning.with_total_price)

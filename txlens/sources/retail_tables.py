@@ -18,10 +18,19 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df, *keys):
+    """Use all cores for a source that has fewer splits than there are cores.
+
+    A large source has far more splits than cores and is left as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def retail_raw(spark, folder):
     """The raw layer (plus ``RowKey``), with returns, free items and missing customers."""
     lines = (
-        table(spark, folder, "lineitem")
+        spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
         .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
