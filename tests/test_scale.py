@@ -98,6 +98,13 @@ def test_lookup_is_broadcast_only_within_the_bound(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_wide_lookup_is_not_broadcast(spark, monkeypatch):
+    labels = spark.range(100).select(F.repeat(F.col("id").cast("string"), 50).alias("CustomerID"))
+    assert lookup._fits_broadcast(labels, 1000) and not lookup._fits_broadcast(labels, 99)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 5000)
+    assert not lookup._fits_broadcast(labels, 1000)
+
+
 def test_hot_key_of_a_large_lookup_is_split(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

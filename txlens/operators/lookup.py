@@ -1,7 +1,7 @@
 """Bringing one value per key back to every row.
 
 The per-key table is aggregated (with partial aggregation, so a hot key costs no more
-than any other), staged, and counted. A table within the bound is broadcast and the
+than any other), staged, and measured. A table within the bounds is broadcast and the
 rows stay where they are. A larger one is joined through a shuffle; as a staged table it
 is a plain scan, so both sides are plain shuffle stages and adaptive execution can split
 the partition of a hot key.
@@ -11,19 +11,22 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txlens.operators.ordering import row_number_global
-from txlens.params import BROADCAST_ROWS
+from txlens.params import BROADCAST_BYTES, BROADCAST_ROWS
 from txlens.staging import stage
 
 
-def attach(df, table, key, defaults=None, limit=BROADCAST_ROWS, rows=None):
-    """Left-join ``table`` (one row per ``key``) to ``df``; missing values get defaults.
+def _fits_broadcast(table, limit):
+    """Rows and text bytes of a staged table against the broadcast bounds."""
+    width = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns]))
+    rows, size = table.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= limit and size <= BROADCAST_BYTES
 
-    ``rows`` is the size of a table that is staged already.
-    """
-    if rows is None:
-        table = stage(table)
-        rows = table.count()
-    joined = df.join(F.broadcast(table) if rows <= limit else table, key, "left")
+
+def attach(df, table, key, defaults=None, limit=BROADCAST_ROWS, staged=False):
+    """Left-join ``table`` (one row per ``key``) to ``df``; missing values get defaults."""
+    table = table if staged else stage(table)
+    side = F.broadcast(table) if _fits_broadcast(table, limit) else table
+    joined = df.join(side, key, "left")
     filled = {name: F.coalesce(F.col(name), F.lit(value))
               for name, value in (defaults or {}).items()}
     return joined.withColumns(filled) if filled else joined
@@ -59,8 +62,7 @@ def apply_codes(df, codes, column, name, default):
 def encode_by_frequency(df, column, name, source=None):
     """Frequency rank of the label; NULL gets the number of labels."""
     codes = stage(frequency_codes(source or df, column, name))
-    labels = codes.count()
-    return attach(df, codes, column, {name: float(labels)}, rows=labels)
+    return attach(df, codes, column, {name: float(codes.count())}, staged=True)
 
 
 def encode_alphabetical(df, column, name):

@@ -41,5 +41,6 @@ FOREST_TREES = 100
 FOREST_SAMPLE = 256
 FOREST_SEED = 42
 
-# A lookup table is broadcast only when its counted rows stay within this bound.
+# A lookup table is broadcast only when its measured size stays within both bounds.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
