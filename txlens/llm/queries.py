@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from txlens.llm import (decontam, factormachine, licenses, linechunks, mixing, quality, secretscan,
                         simhash, substrings, toolcalls)
+from txlens.llm.twins import SQL  # noqa: F401
 
 
 def _table(spark, folder, name):
@@ -59,4 +60,3 @@ def op10_simhash(spark, folder):
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_secret_scan, op3_benchmark_decontamination, op4_quality_classifier, op5_line_dedup,
     op6_quality_rules, op7_tool_calls, op8_substring_dedup, op9_license_scan, op10_simhash)}
-SQL = {}
