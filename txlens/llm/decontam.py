@@ -8,6 +8,8 @@ bands that reach the bound are verified by a banded alignment. No leak within bu
 Texts are compared as UTF-8 bytes, A-Z lower-cased, white space runs as one space.
 """
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -48,6 +50,8 @@ class Regions:
                 self.texts.append(data[start:start + REGION])
                 self.item.append(item_id)
                 self.at.append(start)
+        held = Counter(self.item)
+        self.of_item = [held[i] for i in self.item]
         self.length = np.array([len(t) for t in self.texts], np.int64)
         self.edits = self.length // BYTES_PER_EDIT
         self.bound = self.length + 1 - Q * (self.edits + 1)
@@ -174,7 +178,7 @@ def find_leaks(docs, benchmark, block_bytes=1 << 20):
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([regions.item[r] for r in region], pa.int64()),
                     pa.array([regions.at[r] for r in region], pa.int64()), pa.array(edits, pa.int64()),
-                    pa.array([regions.item.count(regions.item[r]) for r in region], pa.int64()),
+                    pa.array([regions.of_item[r] for r in region], pa.int64()),
                 ], ["doc_id", "item_id", "region", "edits", "n_item_regions"])
 
         part = rows.mapInArrow(run, "doc_id long, item_id long, region long, edits long, n_item_regions long")
