@@ -1,15 +1,16 @@
 """Hand-made edge rows."""
 
+import math
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from txlens.functions import rules
+from txlens.functions import money, rules
 from txlens.functions import timeparts as tp
 from txlens.functions.money import money_avg, money_sum, percentage, round_half_up
 from txlens.operators import (anomalies, cleaning, correlation, customers, features, joins,
-                              lookup, ordering, profile, returned, sales)
+                              lookup, ordering, profile, quantiles, returned, sales)
 
 
 def values(df, column):
@@ -132,6 +133,25 @@ def test_halves(spark, count, first, delta):
     df = spark.createDataFrame(rows, "InvoiceDate timestamp, TotalPrice double, RowKey string")
     row = ordering.revenue_delta(df, "RowKey").first()
     assert (row["Rows"], row["FirstHalf"], row["RevenueDelta"]) == (count, first, delta)
+    assert row["SecondHalf"] == (count - first if count > 1 else 0.0)
+
+
+def test_money_is_exact(spark):
+    cases = [[1.00004] * 3, [0.1] * 10, [float("nan"), 2.5, None], [-0.000001, 1e9, 3e-12], [1e16, 0.25], [float("inf"), 1.0],
+             [float("nan")], [123456.654321, -99999.999999] * 500]
+    for values in cases:
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        total, mean, rounded = df.agg(money.money_sum("v"), money.money_avg("v"), money.round_half_up(F.max("v"), 2)).first()
+        real = [v for v in values if v is not None and not math.isnan(v)]
+        assert total == (math.fsum(real) if real else None)
+        assert mean == (pytest.approx(math.fsum(real) / len(real)) if real else None)
+    assert spark.sql("SELECT 1e20 AS v").select(money.round_half_up("v", 2)).first()[0] == 1e20
+
+
+def test_histogram_leaves_out_nan(spark):
+    df = spark.createDataFrame([(v,) for v in (0.0, 1.0, 9.0, 10.0, float("nan"), None)], "v double")
+    assert [r["Count"] for r in profile.histogram(df, "v", 2).collect()] == [2, 2]
+    assert quantiles.exact_quantiles(df, ["v"], [0.5]) == {"v": [5.0]}
 
 
 def test_search_patterns(spark):

@@ -1,11 +1,12 @@
 """Exact quantiles with linear interpolation, for columns of any size.
 
 Up to ``limit`` values per column the built-in ``percentile`` does it. Beyond that its
-state (every distinct value in one buffer) is too large. Then an approximate quantile
-narrows each search to a band of values around the wanted rank, the rows below the band
-are only counted, and the band is narrowed again until few rows are left in it. Every
-step is one pass for all columns and probabilities together, over a staged copy of just
-these columns, so that an expensive source is evaluated once.
+state (every distinct value in one buffer) is too large. Then two approximate quantiles
+enclose each wanted rank; rows below, at and between the two values are counted, and the
+rank is found at one of them or lies in an open band that no longer holds them, so every
+pass makes the band smaller, whatever values are frequent. When few rows are left in a
+band, they are looked at one by one. Every step is one pass for all columns and
+probabilities together, over a staged copy of just these columns.
 """
 
 from math import ceil, floor
@@ -13,6 +14,7 @@ from math import ceil, floor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from txlens.functions.money import known
 from txlens.staging import stage
 
 DIRECT_ROWS = 100_000
@@ -20,48 +22,52 @@ ACCURACY = 10_000
 
 
 class _Search:
-    """Where the values of one column at one or two neighbouring ranks are looked for."""
+    """Where the value of one column at one rank is looked for: above ``low``, below ``high``."""
 
-    def __init__(self, column, size, probability, low, high):
-        self.column, self.position = column, (size - 1) * probability
-        self.ranks = sorted({floor(self.position), ceil(self.position)})
-        self.low, self.high, self.below, self.inside = low, high, 0, size
-        self.stuck = False
+    def __init__(self, column, rank, size):
+        self.column, self.rank, self.inside = column, rank, size
+        self.low = self.high = self.found = None
+        self.below = 0
 
     def in_band(self):
-        return F.col(self.column).between(self.low, self.high)
+        value = F.col(self.column)
+        inside = value.isNotNull()
+        if self.low is not None:
+            inside = inside & (value > self.low)
+        if self.high is not None:
+            inside = inside & (value < self.high)
+        return inside
 
     def open(self, limit):
-        return self.inside > limit and self.low < self.high and not self.stuck
+        return self.found is None and self.inside > limit
 
     def bounds(self, accuracy):
+        """Two values of the band, a little below and above the rank."""
         margin = 4 / accuracy
-        first = (self.ranks[0] - self.below) / self.inside - margin
-        last = (self.ranks[-1] - self.below) / self.inside + margin
-        values = F.percentile_approx(
-            F.when(self.in_band(), F.col(self.column)), [max(first, 0.0), min(last, 1.0)], accuracy
-        )
-        return F.struct(
-            (F.lit(self.low) if first <= 0 else values[0]).alias("low"),
-            (F.lit(self.high) if last >= 1 else values[1]).alias("high"),
-        )
+        place = (self.rank - self.below) / self.inside
+        return F.percentile_approx(F.when(self.in_band(), F.col(self.column)),
+                                   [max(place - margin, 0.0), min(place + margin, 1.0)], accuracy)
 
     def counts(self, low, high):
-        value = F.col(self.column)
-        return F.struct(F.count_if(value < low).alias("below"),
-                        F.count_if(value.between(low, high)).alias("inside"))
-
-    def narrow(self, low, high, below, inside):
-        if below > self.ranks[0] or self.ranks[-1] >= below + inside:
-            raise ValueError(f"quantile band of {self.column} misses its rank")
-        self.stuck = (low, high) == (self.low, self.high)
-        self.low, self.high, self.below, self.inside = low, high, below, inside
-
-    def value(self, found):
-        lower, upper = found[self.ranks[0]], found[self.ranks[-1]]
-        if lower == upper:
-            return float(lower)
-        return (self.ranks[-1] - self.position) * lower + (self.position - self.ranks[0]) * upper
+        value, band = F.col(self.column), self.in_band()
+        return F.struct(*[F.count_if(band & test).alias(name) for name, test in (
+            ("under", value < low), ("at_low", value == low), ("between", (value > low) & (value < high)),
+            ("at_high", (value == high) & F.lit(low < high)))])
+
+    def narrow(self, low, high, under, at_low, between, at_high):
+        place = self.rank - self.below
+        if place < under:
+            self.high, self.inside = low, under
+        elif place < under + at_low:
+            self.found = low
+        elif place < under + at_low + between:
+            self.low, self.high, self.inside = low, high, between
+            self.below += under + at_low
+        elif place < under + at_low + between + at_high:
+            self.found = high
+        else:
+            passed = under + at_low + between + at_high
+            self.low, self.inside, self.below = high, self.inside - passed, self.below + passed
 
 
 def _one_pass(df, parts):
@@ -69,7 +75,10 @@ def _one_pass(df, parts):
 
 
 def _values_at_ranks(df, searches):
-    """One pass over the rows of all bands; equal values are counted before they move."""
+    """One pass over the rows of all bands; equal values are counted before they move.
+
+    A band holds at most ``limit`` rows, which also bounds the window's partitions.
+    """
     members = F.array(*[
         F.when(search.in_band(), F.struct(F.lit(i).alias("i"), F.col(search.column).alias("v")))
         for i, search in enumerate(searches)
@@ -79,39 +88,47 @@ def _values_at_ranks(df, searches):
     steps = steps.withColumn("upto", F.sum("count").over(running))
     wanted = F.lit(False)
     for i, search in enumerate(searches):
-        for rank in search.ranks:
-            place = rank - search.below
-            wanted = wanted | ((F.col("i") == i) & (F.col("upto") > place)
-                               & (F.col("upto") - F.col("count") <= place))
-    rows = steps.where(wanted).collect()
-    for i, search in enumerate(searches):
-        own = sorted((row["upto"] + search.below, row["v"]) for row in rows if row["i"] == i)
-        yield search, {rank: next(v for upto, v in own if upto > rank) for rank in search.ranks}
+        place = search.rank - search.below
+        wanted = wanted | ((F.col("i") == i) & (F.col("upto") > place)
+                           & (F.col("upto") - F.col("count") <= place))
+    for row in steps.where(wanted).collect():
+        searches[row["i"]].found = row["v"]
+
 
+def exact_quantiles(df, columns, probabilities, limit=DIRECT_ROWS, accuracy=ACCURACY, staged=False):
+    """``{column: [value per probability]}``; NULL and NaN are left out, no rows gives None.
 
-def exact_quantiles(df, columns, probabilities, limit=DIRECT_ROWS, accuracy=ACCURACY):
-    """``{column: [value per probability]}``; NULLs are left out, no rows gives None."""
+    ``staged``: ``df`` is a plain scan already and need not be written first.
+    """
     columns, probabilities = list(columns), list(probabilities)
-    numbers = stage(df.select(*[F.col(name).cast("double").alias(name) for name in columns]))
-    known = {name: row for name, row in zip(columns, _one_pass(numbers, [
-        F.struct(F.count(n).alias("size"), F.min(n).alias("low"), F.max(n).alias("high"))
-        for n in columns
-    ]))}
-    small = [name for name in columns if known[name]["size"] <= limit]
+    numbers = df.select(*[known(name).alias(name) for name in columns])
+    numbers = numbers if staged else stage(numbers)
+    sizes = dict(zip(columns, _one_pass(numbers, [F.count(name) for name in columns])))
+    small = [name for name in columns if sizes[name] <= limit]
     result = {}
     if small:
         row = _one_pass(numbers, [F.percentile(name, probabilities) for name in small])
         result = {name: values or [None] * len(probabilities) for name, values in zip(small, row)}
-    searches = [
-        _Search(name, known[name]["size"], p, known[name]["low"], known[name]["high"])
-        for name in columns if name not in result for p in probabilities
-    ]
-    while wide := [search for search in searches if search.open(limit)]:
+    searches = {}
+    for name in columns:
+        if name not in result:
+            for p in probabilities:
+                position = (sizes[name] - 1) * p
+                for rank in {floor(position), ceil(position)}:
+                    searches.setdefault((name, rank), _Search(name, rank, sizes[name]))
+    while wide := [search for search in searches.values() if search.open(limit)]:
         bands = _one_pass(numbers, [search.bounds(accuracy) for search in wide])
         counts = _one_pass(numbers, [s.counts(*band) for s, band in zip(wide, bands)])
         for search, band, count in zip(wide, bands, counts):
             search.narrow(*band, *count)
-    if searches:
-        for search, found in _values_at_ranks(numbers, searches):
-            result.setdefault(search.column, []).append(search.value(found))
+    if left := [search for search in searches.values() if search.found is None]:
+        _values_at_ranks(numbers, left)
+    for name in columns:
+        if name not in result:
+            result[name] = []
+            for p in probabilities:
+                position = (sizes[name] - 1) * p
+                lower, upper = searches[name, floor(position)].found, searches[name, ceil(position)].found
+                share = position - floor(position)
+                result[name].append(float(lower) if lower == upper else (1 - share) * lower + share * upper)
     return result
