@@ -6,6 +6,7 @@ The forest is a table of nodes: node 0 is the root, the children of node i are 2
 scored where they are, in Arrow batches of the feature columns only, without a shuffle.
 """
 
+import hashlib
 import sys
 from math import ceil, log2
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from txlens.operators.ordering import smallest_by_hash
 from txlens.params import FOREST_FEATURES, FOREST_SAMPLE, FOREST_SEED, FOREST_TREES
+from txlens.staging import stage
 
 # Tasks get the helpers below by value: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,22 +34,14 @@ def _row_hash(seed, *columns):
 
 def draw_samples(df, features=FOREST_FEATURES, key=("RowKey",), trees=FOREST_TREES,
                  sample=FOREST_SAMPLE, seed=FOREST_SEED):
-    """(tree, features): ``sample`` rows for each tree, chosen by a hash of the row key.
+    """(tree, _hash, features): ``sample`` rows for each tree, chosen by a hash of the row key.
 
-    With enough rows the trees get disjoint parts of one pool. A smaller table is ranked
-    anew for every tree.
+    The rows with the smallest hashes form a pool of trees × sample rows, and every tree takes
+    its own smallest hashes from it: one rule at all sizes, over a bounded pool.
     """
-    wanted = trees * sample
     complete = df.dropna(subset=list(features))
-    rows = complete.count()
-    hashed = complete.select(*features, *key).withColumn("_hash", _row_hash(seed, *key))
-    pool = smallest_by_hash(hashed, "_hash", wanted, *key, rows=rows)
-    if rows >= wanted:
-        # At most trees × sample rows reach this window.
-        place = F.row_number().over(Window.orderBy("_hash", *key)) - 1
-        return pool.withColumn("tree", (place % trees).cast("int")).select(
-            "tree", "_hash", *features
-        )
+    hashed = complete.select(*dict.fromkeys([*features, *key])).withColumn("_hash", _row_hash(seed, *key))
+    pool = stage(smallest_by_hash(hashed, "_hash", trees * sample, *key))
     each = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     each = each.withColumn("_hash", F.md5(F.concat_ws("|", "_hash", F.col("tree").cast("string"))))
     place = F.row_number().over(Window.partitionBy("tree").orderBy("_hash", *key))
@@ -56,8 +50,17 @@ def draw_samples(df, features=FOREST_FEATURES, key=("RowKey",), trees=FOREST_TRE
     )
 
 
-def _grow(values, rng):
-    """Nodes (node, depth, feature, threshold, size) of one random tree."""
+def _number(*words):
+    """A whole number below 16**13 from the words' hash, and its share of that range."""
+    digits = hashlib.md5("|".join(map(str, words)).encode()).hexdigest()[:13]
+    return int(digits, 16), int(digits, 16) / 16.0**13
+
+
+def _grow(values, seed, tree):
+    """Nodes (node, depth, feature, threshold, size) of one random tree.
+
+    Feature and threshold of a node follow from a hash of seed, tree and node alone.
+    """
     limit = ceil(log2(max(len(values), 2)))
     nodes, todo = [], [(0, 0, values)]
     while todo:
@@ -66,10 +69,10 @@ def _grow(values, rng):
         if depth >= limit or len(spread) == 0:
             nodes.append((node, depth, LEAF, 0.0, len(part)))
             continue
-        feature = int(rng.choice(spread))
+        feature = int(spread[_number(seed, tree, node, "feature")[0] % len(spread)])
         column = part[:, feature]
-        low, high = column.min(), column.max()
-        threshold = rng.uniform(low, high)
+        low, high = float(column.min()), float(column.max())
+        threshold = low + _number(seed, tree, node, "threshold")[1] * (high - low)
         if not low <= threshold < high:
             threshold = low
         nodes.append((node, depth, feature, threshold, len(part)))
@@ -84,9 +87,8 @@ def fit_isolation_forest(df, features=FOREST_FEATURES, key=("RowKey",), trees=FO
     columns = list(features)
 
     def grow(group):
-        group = group.sort_values(["_hash", *columns])
         tree = int(group["tree"].iloc[0])
-        nodes = _grow(group[columns].to_numpy(float), np.random.default_rng([seed, tree]))
+        nodes = _grow(group[columns].to_numpy(float), seed, tree)
         table = pd.DataFrame(nodes, columns=["node", "depth", "feature", "threshold", "size"])
         return table.assign(tree=tree)[
             ["tree", "node", "depth", "feature", "threshold", "size"]
