@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import frames
-from txlens.operators import features, forest, joins, lookup, ordering, profile, quantiles, sales
+from txlens.operators import correlation, features, forest, joins, lookup, ordering, profile, quantiles, sales
 from txlens.operators.anomalies import flag_anomalies
 from txlens.staging import stage
 
@@ -37,6 +37,50 @@ def test_quantiles_are_exact(spark, limit, accuracy):
         assert found[name] == pytest.approx(list(np.quantile(data[name], wanted)), abs=1e-9)
 
 
+@pytest.mark.parametrize("limit,accuracy", [(1000, 200), (10, 50)])
+def test_quantiles_between_two_heavy_values(spark, limit, accuracy):
+    place = F.col("id") % 1000
+    df = stage(spark.range(200_000).select(F.when(place < 499, 0.0).when(place < 998, 1e6).otherwise(
+        F.col("id").cast("double")).alias("v")))
+    wanted = [0.1, 0.499, 0.4995, 0.5, 0.5005, 0.9]
+    found = quantiles.exact_quantiles(df, ["v"], wanted, limit, accuracy)["v"]
+    assert found == pytest.approx(list(np.quantile(df.toPandas()["v"], wanted)), abs=1e-9)
+
+
+def test_box_and_correlation_read_their_source_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    flag_anomalies(skewed(spark, 3000).withColumn("score", -F.col("TotalPrice"))).write.parquet(path)
+    df = spark.read.parquet(path)
+    for frame in (correlation.correlation_matrix(df, ["TotalPrice", "Quantity", "anomaly", "anomaly_score"]),
+                  correlation.top_anomaly_correlations(df, ["TotalPrice", "Quantity", "anomaly_score"])):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    box = profile.box_summary(df, "TotalPrice", limit=100)
+    assert box._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    data = df.toPandas()
+    for row in box.collect():
+        values = data[data["anomaly"] == (row["Status"] == "Anomaly")]["TotalPrice"]
+        assert (row["Q1"], row["Median"], row["Q3"]) == pytest.approx(tuple(np.quantile(values, [0.25, 0.5, 0.75])))
+
+
+def test_positions_take_one_shuffle(spark):
+    df = stage(skewed(spark, 5000))
+    spark.sparkContext.setJobGroup("positions", "positions")
+    numbered = ordering.row_number_global(df, ["RowKey"], rows_per_range=700)
+    text = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text.split("BroadcastExchange")[0] and "rangepartitioning" not in text
+    assert [r["row_id"] for r in numbered.orderBy("RowKey").collect()] == list(range(1, 5001))
+
+
+def test_deep_pages_with_ties_and_nulls(spark):
+    rows = [(i % 7 if i % 5 else None, i % 3, i) for i in range(700)]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    for order in (["a", "b", "c"], ["b", "a", "c"]):
+        for number in (1, 3, 14, 15):
+            deep = ordering.page(df, order, number, size=50, shallow=0, rows_per_range=100)
+            assert deep.collect() == ordering.page(df, order, number, size=50).collect()
+    assert ordering.page(df, ["a"], 5, size=50, shallow=0).count() == 50
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert quantiles.exact_quantiles(df, ["v"], [0.5]) == {"v": [None]}
@@ -165,7 +209,9 @@ def test_top_k_does_not_sort_everything(spark, small):
 def test_key_join_keeps_every_flagged_row_once(spark):
     df = flag_anomalies(skewed(spark).withColumn("score", -F.col("TotalPrice")))
     flagged = df.where("anomaly = 1")
-    assert joins.join_anomalies(df, flagged, "RowKey").count() == flagged.count()
+    documents = flagged.select("RowKey", F.lit("r").alias("reason"))
+    joined = joins.join_anomalies(df, documents, "RowKey")
+    assert joined.count() == flagged.count() and sorted(joined.columns) == sorted([*df.columns, "reason"])
 
 
 def forest_input(spark, rows=4000):

@@ -7,46 +7,40 @@ from pyspark.sql import functions as F
 from txlens.functions.rules import direction_label
 
 
-def correlation_pairs(df, columns):
-    """Long form (Left, Right, Correlation), each unordered pair once.
+def _coefficients(df, columns):
+    """One row: the coefficient of every pair, and 1 for every column that is not constant.
 
-    Every pair uses the rows where both values are known. Deviations are shared between
-    pairs of columns without NULLs; a constant column correlates with nothing (NULL).
+    Every pair uses the rows where both values are known; a constant column correlates with
+    nothing (NULL).
     """
-    columns = list(columns)
     numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    gaps = numbers.agg(*[F.count_if(F.col(n).isNull()).alias(n) for n in columns]).first()
+    pairs = list(combinations(columns, 2))
+    found = [F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))) for a, b in pairs]
+    row = numbers.agg(
+        *[value.alias(f"r{i}") for i, value in enumerate(found)],
+        *[F.when(F.stddev_pop(name) > 0, 1.0).alias(f"own{i}") for i, name in enumerate(columns)])
+    return row, pairs
 
-    def deviation(name, other):
-        value = F.col(name)
-        return F.stddev_pop(value if not gaps[other] else F.when(F.col(other).isNotNull(), value))
 
-    pairs = list(combinations(columns, 2))
-    row = numbers.agg(*[
-        F.try_divide(F.covar_pop(a, b), deviation(a, b) * deviation(b, a)).alias(f"r{i}")
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("Left"), F.lit(b).alias("Right"),
-                 F.col(f"r{i}").alias("Correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ])))
+def _cell(left, right, value):
+    return F.struct(F.lit(left).alias("Left"), F.lit(right).alias("Right"), F.col(value).alias("Correlation"))
+
+
+def correlation_pairs(df, columns):
+    """Long form (Left, Right, Correlation), each unordered pair once."""
+    row, pairs = _coefficients(df, list(columns))
+    return row.select(F.inline(F.array(*[_cell(a, b, f"r{i}") for i, (a, b) in enumerate(pairs)])))
 
 
 def correlation_matrix(df, columns):
-    """Wide form: one row and one column per feature."""
+    """Wide form: one row and one column per feature, laid out from the one row of coefficients."""
     columns = list(columns)
-    pairs = correlation_pairs(df, columns)
-    both = pairs.union(pairs.select("Right", "Left", "Correlation"))
-    # A feature agrees with itself unless it is constant.
-    own = df.agg(*[
-        F.when(F.stddev_pop(F.col(n).cast("double")) > 0, 1.0).alias(n) for n in columns
-    ]).select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("Left"), F.lit(n).alias("Right"), F.col(n).alias("Correlation"))
-        for n in columns
-    ])))
-    table = both.union(own).groupBy(F.col("Left").alias("Feature")).pivot("Right", columns)
-    return table.agg(F.first("Correlation"))
+    row, pairs = _coefficients(df, columns)
+    place = {pair: f"r{i}" for i, pair in enumerate(pairs)}
+    place |= {(b, a): name for (a, b), name in place.items()}
+    place |= {(name, name): f"own{i}" for i, name in enumerate(columns)}
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("Feature"), *[F.col(place[a, b]).alias(b) for b in columns]) for a in columns])))
 
 
 def top_anomaly_correlations(df, columns, target="anomaly", n=10):

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from txlens.functions.money import money_sum, round_half_up
 from txlens.staging import stage
 
+#: Pages that end by this row are simply sorted and cut.
 SHALLOW_ROWS = 10_000
+#: Tables up to this size are not filtered by a hash bound before their sample is sorted.
 PLAIN_ROWS = 1_000_000
+#: Rows of one range, that is, of one sorting task, when positions are given out.
+ROWS_PER_RANGE = 4_000_000
 
 
 def top_k(df, by, n, *ties):
@@ -27,39 +31,47 @@ def preview(df, n, *key):
     return df.orderBy(*key).limit(n)
 
 
-def _ranges(df, order, amount):
-    """Staged rows with their range number, and (range, sum before it, own sum)."""
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stage(
-        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
-    )
-    # One row per range: the only window without a partition sees at most `ranges` rows.
+def _ranged(df, order, rows_per_range):
+    """Staged rows in order, with ``_range`` and the place ``_at`` in it, from one shuffle.
+
+    Every range is one task that sorts and numbers its rows: the upper bits of the generated id
+    are the range, the lower 33 the place.
+    """
+    rows = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    ranges = max(-(-rows // rows_per_range), min(cores, -(-rows // SHALLOW_ROWS)), 1)
+    ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = stage(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    return placed.withColumns({
+        "_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
+
+
+def _offsets(ranged, amount):
+    """Sum before every range; one row per range, so the plain window stays small."""
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_range").agg(F.sum(amount).alias("_own"))
-    before = F.coalesce(F.sum("_own").over(earlier), F.lit(0))
-    return ranged, totals.withColumn("_before", before)
+    return totals.withColumn("_before", F.coalesce(F.sum("_own").over(earlier), F.lit(0)))
 
 
-def _total_within(ranged, offsets, order, amount, name):
-    within = (
-        Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+def running_total(df, order, name, weight, rows_per_range=ROWS_PER_RANGE):
+    """Add the running sum of ``weight`` in the given order."""
+    ranged = _ranged(df, order, rows_per_range)
+    within = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_before") + F.sum(amount).over(within))
-        .drop("_range", "_before", "_own")
+        ranged.join(F.broadcast(_offsets(ranged, F.col(weight))), "_range")
+        .withColumn(name, F.col("_before") + F.sum(weight).over(within))
+        .drop("_range", "_at", "_before", "_own")
     )
 
 
-def running_total(df, order, name, weight=None):
-    """Add the running sum of ``weight`` (default: 1 per row) in the given order."""
-    amount = F.lit(1).cast("bigint") if weight is None else F.col(weight)
-    return _total_within(*_ranges(df, order, amount), order, amount, name)
-
-
-def row_number_global(df, order, name="row_id"):
-    """Positions 1, 2, 3, … over the whole table."""
-    return running_total(df, order, name)
+def row_number_global(df, order, name="row_id", rows_per_range=ROWS_PER_RANGE):
+    """Positions 1, 2, 3, … over the whole table: one shuffle, no window over the rows."""
+    ranged = _ranged(df, order, rows_per_range)
+    return (
+        ranged.join(F.broadcast(_offsets(ranged, F.lit(1).cast("bigint"))), "_range")
+        .withColumn(name, F.col("_before") + F.col("_at") + 1)
+        .drop("_range", "_at", "_before", "_own")
+    )
 
 
 def page_count(df, size=50):
@@ -69,23 +81,51 @@ def page_count(df, size=50):
     return rows.select("Rows", F.greatest(F.lit(1).cast("bigint"), full).alias("Pages"))
 
 
-def page(df, order, number, size=50, shallow=SHALLOW_ROWS):
-    """One page of the ordered table; beyond ``shallow`` rows it is found by position."""
-    first = (number - 1) * size
+def _not_before(order, key):
+    """Rows at or after a key in column order; NULL comes first, as in a plain sort."""
+    test = F.lit(True)
+    for name in reversed(order):
+        value, column = key[name], F.col(name)
+        if value is None:
+            test = column.isNotNull() | test
+        else:
+            test = (column > value) | ((column == value) & test)
+    first = key[order[0]]
+    return test if first is None else (F.col(order[0]) >= first) & test
+
+
+def _not_after(order, key):
+    test = F.lit(True)
+    for name in reversed(order):
+        value, column = key[name], F.col(name)
+        if value is None:
+            test = column.isNull() & test
+        else:
+            test = column.isNull() | (column < value) | ((column == value) & test)
+    return test
+
+
+def page(df, order, number, size=50, shallow=SHALLOW_ROWS, rows_per_range=ROWS_PER_RANGE):
+    """One page of the ordered table.
+
+    Beyond ``shallow`` rows only the order's own columns are put in order; the keys at both ends
+    of the page then select its rows from the source.
+    """
+    order, first = list(order), (number - 1) * size
     if first + size <= shallow:
         return df.orderBy(*order).offset(first).limit(size)
-    one = F.lit(1).cast("bigint")
-    ranged, offsets = _ranges(df, order, one)
-    # Only the ranges that the page lies in are sorted.
-    touched = offsets.where(
-        (F.col("_before") < first + size) & (F.col("_before") + F.col("_own") > first)
-    )
-    numbered = _total_within(ranged, touched, order, one, "_position")
-    return (
-        numbered.where(F.col("_position").between(first + 1, first + size))
-        .orderBy("_position")
-        .drop("_position")
-    )
+    numbered = row_number_global(df.select(*order), order, "_position", rows_per_range)
+    on_page = F.col("_position").between(first + 1, first + size)
+    keys = numbered.where(on_page).orderBy("_position").collect()
+    if not keys:
+        return df.limit(0)
+    same = F.lit(True)
+    for name in order:
+        same = same & F.col(name).eqNullSafe(F.lit(keys[0][name]))
+    # rows equal to the page's first one in every order column may begin on an earlier page
+    start = numbered.where(same).agg(F.min("_position")).first()[0]
+    inside = df.where(_not_before(order, keys[0]) & _not_after(order, keys[-1]))
+    return inside.orderBy(*order).offset(first + 1 - start).limit(size)
 
 
 def smallest_by_hash(df, hash_column, n, *ties, rows=None):
@@ -122,7 +162,7 @@ def revenue_delta(df, *ties):
     moments = df.groupBy("InvoiceDate").agg(
         F.count("*").alias("_rows"), money_sum("TotalPrice").alias("_revenue")
     )
-    # Staged, because range partitioning reads its input twice: to sample it and to move it.
+    # Staged, because range partitioning reads its input more than once.
     moments = running_total(stage(moments), ["InvoiceDate"], "_upto", "_rows")
     rows = moments.agg(F.max("_upto")).first()[0] or 0
     middle = rows // 2
@@ -151,5 +191,6 @@ def revenue_delta(df, *ties):
     change = F.when(
         (first > 0) & (F.col("Rows") > 1), round_half_up(F.try_divide(second - first, first) * 100, 2)
     ).otherwise(0.0)
-    return halves.select("Rows", first.alias("FirstHalf"), second.alias("SecondHalf"),
+    second_half = F.when(F.col("Rows") > 1, second).otherwise(0.0)
+    return halves.select("Rows", first.alias("FirstHalf"), second_half.alias("SecondHalf"),
                          change.alias("RevenueDelta"))

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from txlens.functions.money import money_avg, percentage, round_half_up
-from txlens.operators.anomalies import only_anomalies, only_normal
+from txlens.functions.money import known, money_avg, percentage, round_half_up
 from txlens.operators.quantiles import exact_quantiles
+from txlens.staging import stage
 
 
 def _spread(column, label, *measures):
@@ -68,7 +68,7 @@ def distinct_rows(df, columns, n):
 
 def _binned(df, column, bins):
     """Values with their bin 1..bins, and the lowest and highest value of all."""
-    values = df.where(F.col(column).isNotNull()).withColumn("_value", F.col(column).cast("double"))
+    values = df.withColumn("_value", known(column)).where(F.col("_value").isNotNull())
     edges = values.agg(
         F.struct(F.min("_value").alias("low"), F.max("_value").alias("high"))
     ).scalar()
@@ -106,31 +106,33 @@ def histogram_by_status(df, column, bins):
 
 
 def box_summary(df, column, limit=None):
-    """Quartiles, extremes and whiskers (1.5 quartile ranges) of both classes."""
+    """Quartiles, extremes and whiskers (1.5 quartile ranges) of both classes.
+
+    One pass over the source; the quartiles of both classes are searched together.
+    """
     options = {} if limit is None else {"limit": limit}
-    result = None
-    for status, rows in (("Normal", only_normal(df)), ("Anomaly", only_anomalies(df))):
-        q1, median, q3 = exact_quantiles(rows, [column], [0.25, 0.5, 0.75], **options)[column]
-        value = F.col(column)
-        if q1 is None:
-            inside_low = inside_high = F.lit(None).cast("double")
-        else:
-            reach = 1.5 * (q3 - q1)
-            inside_low = F.when(value >= q1 - reach, value)
-            inside_high = F.when(value <= q3 + reach, value)
-        row = rows.agg(
-            F.lit(status).alias("Status"),
-            F.count(column).alias("Count"),
-            F.min(column).alias("Min"),
+    value = known(column)
+    classes = {"Normal": 0, "Anomaly": 1}
+    values = stage(df.select(*[F.when(F.col("anomaly") == flag, value).alias(name)
+                               for name, flag in classes.items()]))
+    quartiles = exact_quantiles(values, classes, [0.25, 0.5, 0.75], staged=True, **options)
+    measures = []
+    for name, (q1, median, q3) in quartiles.items():
+        reach = None if q1 is None else 1.5 * (q3 - q1)
+        inside_low = F.lit(None).cast("double") if q1 is None else F.when(F.col(name) >= q1 - reach, F.col(name))
+        inside_high = F.lit(None).cast("double") if q1 is None else F.when(F.col(name) <= q3 + reach, F.col(name))
+        measures.append(F.struct(
+            F.lit(name).alias("Status"),
+            F.count(name).alias("Count"),
+            F.min(name).alias("Min"),
             F.lit(q1).cast("double").alias("Q1"),
             F.lit(median).cast("double").alias("Median"),
             F.lit(q3).cast("double").alias("Q3"),
-            F.max(column).alias("Max"),
+            F.max(name).alias("Max"),
             F.min(inside_low).alias("LowerWhisker"),
             F.max(inside_high).alias("UpperWhisker"),
-        )
-        result = row if result is None else result.unionByName(row)
-    return result
+        ))
+    return values.agg(F.array(*measures).alias("_classes")).select(F.inline("_classes"))
 
 
 def _one_row_per_column(row, columns, parts):
