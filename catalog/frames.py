@@ -32,12 +32,32 @@ def featured(spark, folder):
     return build_features(cleaned(spark, folder), TABLE_LIMITS)
 
 
+def scored_features(spark, folder):
+    """Featured rows with the same plain score and flags, all columns of the last layer."""
+    scored = featured(spark, folder).withColumn("score", -F.col("TotalPrice"))
+    return flag_anomalies(scored).drop("score").withColumn("anomaly_reason", anomaly_reason(TABLE_LIMITS))
+
+
 def flagged(spark, folder):
     """Timed rows flagged by a plain score (the dearest 2 %), so that SQL can follow."""
     scored = timed(spark, folder).withColumn("score", -F.col("TotalPrice"))
     return flag_anomalies(scored).withColumn("anomaly_reason", anomaly_reason(TABLE_LIMITS))
 
 
+def msum(value, over=""):
+    """The exact sum of the doubles, in parts of 1e-12, rounded once."""
+    value = f"({value})"
+    part = f"(({value} - floor({value})) * 1000000)"
+    whole, below, rest = (f"sum(CAST({e} AS HUGEINT)) {over}" for e in (
+        f"floor({value})", f"floor({part})", f"round_even(({part} - floor({part})) * 1000000, 0)"))
+    return (f"CAST(CAST(({whole} * 1000000 + {below}) * 1000000 + {rest} AS VARCHAR) || 'e-12' "
+            "AS DOUBLE)")
+
+
+def mavg(value):
+    return f"({msum(value)} / count({value}))"
+
+
 LAYERS_SQL = """
 WITH raw AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS InvoiceNo,
@@ -80,7 +100,7 @@ WITH raw AS (
   SELECT StockCode, CAST(count(*) AS DOUBLE) AS ProductFrequency FROM timed GROUP BY StockCode
 ), customer_stats AS (
   SELECT CustomerID,
-         CAST(sum(CAST(TotalPrice AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS AvgCustomerSpend,
+         """ + msum("TotalPrice") + """ / count(*) AS AvgCustomerSpend,
          CAST(count(*) AS DOUBLE) AS CustomerFrequency,
          sum(Quantity) AS CustomerTotalQty,
          coalesce(stddev_samp(TotalPrice), 0.0) AS CustomerPriceStd
@@ -99,18 +119,14 @@ WITH raw AS (
               WHEN TotalPrice > 95000 THEN 'High Transaction'
               WHEN Quantity > 45 THEN 'Large Quantity' ELSE 'Normal' END AS anomaly_reason
   FROM timed CROSS JOIN score_limit
+), scored_features AS (
+  SELECT featured.*, anomaly_score, anomaly, anomaly_reason
+  FROM featured JOIN (SELECT RowKey, anomaly_score, anomaly, anomaly_reason FROM flagged)
+    USING (RowKey)
 )
 """
 
 
-def msum(value):
-    return f"CAST(sum(CAST({value} AS DECIMAL(18,4))) AS DOUBLE)"
-
-
-def mavg(value):
-    return f"({msum(value)} / count({value}))"
-
-
 def rounded(value, digits):
     """Half-up rounding of the decimal value, as Spark rounds doubles."""
     return f"CAST(round(CAST({value} AS DECIMAL(28,9)), {digits}) AS DOUBLE)"

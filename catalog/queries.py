@@ -6,18 +6,18 @@ from typing import NamedTuple
 from pyspark.sql import functions as F
 
 from catalog.frames import (LAYERS_SQL, cleaned, featured, flagged, mavg, msum, priced, raw,
-                            rounded, timed)
+                            rounded, scored_features, timed)
 from txlens.functions import timeparts as tp
 from txlens.functions.money import percentage
 from txlens.functions.rules import revenue_category
 from txlens.operators import (anomalies, cleaning, correlation, customers, features, forest,
                               joins, lookup, ordering, profile, quantiles, returned, sales)
-from txlens.params import FOREST_FEATURES
-from txlens.plans import stages
-from txlens.schemas import NUMERIC_FEATURES, REPORT_COLUMNS, SAMPLE_COLUMNS
+from txlens.params import FOREST_FEATURES, FOREST_SAMPLE, FOREST_SEED, FOREST_TREES
+from txlens.plans import run, stages
+from txlens.schemas import NUMERIC_FEATURES, REPORT_COLUMNS, SAMPLE_COLUMNS, WAREHOUSE_COLUMNS
 from txlens.sources import files, warehouse
 from txlens.sources.retail_tables import TABLE_LIMITS
-from txlens.staging import stage, staging_folder
+from txlens.staging import run_folder, stage
 
 CATALOG = {}
 
@@ -39,7 +39,7 @@ def rounding(df, digits, *columns):
 def new_folder(spark):
     import uuid
 
-    return f"{staging_folder(spark)}/query-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/query-{uuid.uuid4().hex}"
 
 
 # --- cleaning --------------------------------------------------------------------------
@@ -393,9 +393,16 @@ add("daily_revenue", "F27", lambda s, d: sales.daily_revenue(timed(s, d)),
     f"""SELECT CAST(InvoiceDate AS DATE) AS Date, {msum('TotalPrice')} AS Revenue
         FROM timed GROUP BY 1""")
 add("hourly_revenue", "F28", lambda s, d: sales.hourly_revenue(timed(s, d)), _by_hour)
+_week = "(SELECT CAST(i AS INTEGER) AS DayNum, dayname(DATE '2024-01-01' + CAST(i AS INTEGER)) AS Day FROM range(7) r(i))"
 add("weekday_revenue", "F29 Q19", lambda s, d: sales.weekday_revenue(timed(s, d)),
-    f"""SELECT CAST(isodow(InvoiceDate) - 1 AS INTEGER) AS DayNum, dayname(InvoiceDate) AS Day,
-               {msum('TotalPrice')} AS Revenue FROM timed GROUP BY 1, 2""")
+    f"""SELECT w.DayNum, w.Day, Revenue FROM {_week} w
+        LEFT JOIN (SELECT isodow(InvoiceDate) - 1 AS n, {msum('TotalPrice')} AS Revenue
+                   FROM timed GROUP BY 1) ON n = w.DayNum""")
+add("weekday_revenue_closed_day", "F29 Q19",
+    lambda s, d: sales.weekday_revenue(timed(s, d).where(F.weekday("InvoiceDate") != 5)),
+    f"""SELECT w.DayNum, w.Day, Revenue FROM {_week} w
+        LEFT JOIN (SELECT isodow(InvoiceDate) - 1 AS n, {msum('TotalPrice')} AS Revenue
+                   FROM timed WHERE isodow(InvoiceDate) <> 6 GROUP BY 1) ON n = w.DayNum""")
 add("monthly_revenue", "F30", lambda s, d: sales.monthly_revenue(timed(s, d)),
     f"SELECT Month, {msum('TotalPrice')} AS Revenue FROM timed GROUP BY Month")
 add("weekday_hour_revenue", "F31", lambda s, d: sales.weekday_hour_revenue(timed(s, d)),
@@ -534,8 +541,9 @@ add("daily_anomalies", "F37", lambda s, d: anomalies.daily_anomalies(flagged(s,
 add("hourly_anomalies", "F38", lambda s, d: anomalies.hourly_anomalies(flagged(s, d)),
     "SELECT Hour, count(*) AS Count FROM flagged WHERE anomaly = 1 GROUP BY Hour")
 add("weekday_anomalies", "F39 Q19", lambda s, d: anomalies.weekday_anomalies(flagged(s, d)),
-    """SELECT CAST(isodow(InvoiceDate) - 1 AS INTEGER) AS DayNum, dayname(InvoiceDate) AS Day,
-              count(*) AS Count FROM flagged WHERE anomaly = 1 GROUP BY 1, 2""")
+    f"""SELECT w.DayNum, w.Day, Count FROM {_week} w
+        LEFT JOIN (SELECT isodow(InvoiceDate) - 1 AS n, count(*) AS Count
+                   FROM flagged WHERE anomaly = 1 GROUP BY 1) ON n = w.DayNum""")
 add("anomaly_reason_breakdown", "F40",
     lambda s, d: anomalies.anomaly_reason_breakdown(flagged(s, d)),
     """SELECT anomaly_reason, count(*) AS Count FROM flagged WHERE anomaly = 1
@@ -584,6 +592,10 @@ add("total_price_histogram", "F45",
 add("anomaly_price_histogram", "F45",
     lambda s, d: profile.histogram(anomalies.only_anomalies(flagged(s, d)), "TotalPrice", 40),
     _histogram_sql("TotalPrice", "flagged WHERE anomaly = 1", 40))
+add("anomaly_score_histogram", "F45",
+    lambda s, d: rounding(profile.histogram(flagged(s, d), "anomaly_score", 50), 6, "LowEdge", "HighEdge"),
+    f"""SELECT Bin, round(LowEdge, 6) AS LowEdge, round(HighEdge, 6) AS HighEdge, Count
+        FROM ({_histogram_sql("anomaly_score", "flagged", 50)})""")
 add("price_histogram_by_status", "F45 F46",
     lambda s, d: profile.histogram_by_status(flagged(s, d), "TotalPrice", 30),
     """SELECT CAST(b AS INTEGER) AS Bin, CAST(coalesce(x, 0) AS BIGINT) AS Normal,
@@ -670,7 +682,7 @@ add("customer_features", "G2 G3 G4 G5 H4",
         "RowKey", "CustomerID", "AvgCustomerSpend", "CustomerFrequency", "CustomerTotalQty",
         "CustomerPriceStd"), 4, "CustomerPriceStd"),
     f"""SELECT RowKey, CustomerID,
-               CAST(sum(CAST(TotalPrice AS DECIMAL(18,4))) OVER c AS DOUBLE) / count(*) OVER c
+               {msum('TotalPrice', 'OVER c')} / count(*) OVER c
                  AS AvgCustomerSpend,
                count(*) OVER c AS CustomerFrequency, sum(Quantity) OVER c AS CustomerTotalQty,
                round(stddev_samp(TotalPrice) OVER c, 4) AS CustomerPriceStd
@@ -681,7 +693,7 @@ add("dashboard_features", "H4 G1 G2 G3 G4",
         "CustomerTotalQty"),
     f"""SELECT RowKey, count(*) OVER (PARTITION BY StockCode) AS ProductFrequency,
                CASE WHEN CustomerID IS NULL THEN (SELECT {mavg('TotalPrice')} FROM priced)
-                    ELSE CAST(sum(CAST(TotalPrice AS DECIMAL(18,4))) OVER c AS DOUBLE)
+                    ELSE {msum('TotalPrice', 'OVER c')}
                          / count(*) OVER c END AS AvgCustomerSpend,
                CASE WHEN CustomerID IS NULL THEN 1 ELSE count(*) OVER c END AS CustomerFrequency,
                CASE WHEN CustomerID IS NULL THEN 0 ELSE sum(Quantity) OVER c END
@@ -729,10 +741,16 @@ PINNED_FOREST = [
 ]
 
 
+def _average_path_sql(n):
+    """Mean depth of a failed search among n rows: 2 H(n-1) - 2 (n-1)/n, 1 for two, 0 for one."""
+    return (f"(CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1.0) / {n} "
+            f"WHEN {n} = 2 THEN 1.0 ELSE 0.0 END)")
+
+
 def _tree_sql(nodes, node=0):
     _, _, depth, feature, threshold, size = nodes[node]
     if feature == forest.LEAF:
-        return repr(depth + float(forest.average_path(size)))
+        return f"({depth} + {_average_path_sql(size)})"
     return (f"CASE WHEN {FOREST_FEATURES[feature]} <= {threshold} "
             f"THEN {_tree_sql(nodes, 2 * node + 1)} ELSE {_tree_sql(nodes, 2 * node + 2)} END")
 
@@ -740,8 +758,7 @@ def _tree_sql(nodes, node=0):
 def _forest_sql():
     trees = sorted({row[0] for row in PINNED_FOREST})
     paths = " + ".join(_tree_sql({r[1]: r for r in PINNED_FOREST if r[0] == t}) for t in trees)
-    scale = repr(float(forest.average_path(256)))
-    return (f"SELECT RowKey, round(-pow(2, -(({paths}) / {len(trees)}.0) / {scale}), 9) AS score "
+    return (f"SELECT RowKey, round(-pow(2, -(({paths}) / {len(trees)}.0) / {_average_path_sql(256)}), 9) AS score "
             "FROM timed")
 
 
@@ -752,40 +769,111 @@ def _pinned_scores(s, d):
 
 add("pinned_forest_scores", "E5",
     lambda s, d: _pinned_scores(s, d).select("RowKey", "score"), _forest_sql())
+# The forest in SQL: samples by hash, trees by a recursive table of (tree, node) groups, whose
+# feature and threshold follow from md5(seed|tree|node|...).
+def _hash_sql(word, tree="tree", node="node"):
+    return (f"CAST('0x' || left(md5('{FOREST_SEED}|' || {tree} || '|' || {node} || '|{word}'), 13) "
+            "AS BIGINT)")
+
+
+_places = ["q", "u", "t"]
+_spread = ", ".join(f"CASE WHEN {c}1 > {c}0 THEN {i} END" for i, c in enumerate(_places))
+_limits = ", ".join(f"min({c}) OVER g AS {c}0, max({c}) OVER g AS {c}1" for c in _places)
+_split = f"""
+  SELECT *, CASE feature WHEN 0 THEN q0 WHEN 1 THEN u0 ELSE t0 END AS low,
+         CASE feature WHEN 0 THEN q1 WHEN 1 THEN u1 ELSE t1 END AS high,
+         CASE feature WHEN 0 THEN q WHEN 1 THEN u ELSE t END AS v
+  FROM (SELECT *, CASE WHEN depth >= top OR size < 2 OR len(spread) = 0 THEN -1
+                  ELSE spread[{_hash_sql('feature')} % len(spread) + 1] END AS feature
+        FROM (SELECT *, list_filter([{_spread}], lambda x: x IS NOT NULL) AS spread
+              FROM (SELECT *, count(*) OVER g AS size, {_limits} FROM grown
+                    WINDOW g AS (PARTITION BY tree, node))))"""
+_cut = f"""SELECT *, CASE WHEN place >= low AND place < high THEN place ELSE low END AS threshold
+  FROM (SELECT *, low + {_hash_sql('threshold')} / pow(16.0::DOUBLE, 13) * (high - low) AS place FROM ({_split}))"""
+_samples_sql = f"""
+, pool AS MATERIALIZED (
+  SELECT RowKey, Quantity, UnitPrice, TotalPrice, md5(RowKey || '|{FOREST_SEED}') AS h FROM timed
+  ORDER BY h, RowKey LIMIT {FOREST_TREES * FOREST_SAMPLE}
+), drawn AS MATERIALIZED (
+  SELECT tree, hash, Quantity, UnitPrice, TotalPrice FROM (
+    SELECT tree, md5(h || '|' || tree) AS hash, Quantity, UnitPrice, TotalPrice,
+           row_number() OVER (PARTITION BY tree ORDER BY md5(h || '|' || tree), RowKey) AS place
+    FROM pool CROSS JOIN (SELECT CAST(i AS INTEGER) AS tree FROM range({FOREST_TREES}) r(i)))
+  WHERE place <= {FOREST_SAMPLE}
+)"""
+_nodes_sql = f"""{_samples_sql}
+, levels AS MATERIALIZED (
+  WITH RECURSIVE grown AS (
+    SELECT tree, 0::BIGINT AS node, 0 AS depth, Quantity AS q, UnitPrice AS u, TotalPrice AS t,
+           CAST(ceil(log2(greatest(count(*) OVER (PARTITION BY tree), 2))) AS INTEGER) AS top FROM drawn
+    UNION ALL
+    SELECT tree, 2 * node + CASE WHEN v <= threshold THEN 1 ELSE 2 END, depth + 1, q, u, t, top
+    FROM ({_cut}) WHERE feature >= 0
+  ) SELECT * FROM grown
+), nodes AS MATERIALIZED (
+  SELECT DISTINCT tree, CAST(node AS INTEGER) AS node, depth, CAST(feature AS INTEGER) AS feature,
+         CASE WHEN feature < 0 THEN 0.0 ELSE threshold END AS threshold, CAST(size AS INTEGER) AS size
+  FROM ({_cut.replace('FROM grown', 'FROM levels')})
+)"""
+_forest_lines_sql = f"""{_nodes_sql}
+, walked AS (
+  WITH RECURSIVE walk AS (
+    SELECT RowKey, Quantity AS q, UnitPrice AS u, TotalPrice AS p, n.* FROM timed JOIN nodes n ON n.node = 0
+    UNION ALL
+    SELECT w.RowKey, w.q, w.u, w.p, n.* FROM walk w JOIN nodes n ON w.feature >= 0 AND n.tree = w.tree
+      AND n.node = 2 * w.node + CASE WHEN (CASE w.feature WHEN 0 THEN q WHEN 1 THEN u ELSE p END)
+                                          <= w.threshold THEN 1 ELSE 2 END
+  ) SELECT RowKey, tree, depth + {_average_path_sql('size')} AS path FROM walk WHERE feature < 0
+), forest_scores AS MATERIALIZED (
+  SELECT RowKey, -pow(2, -(list_reduce(list(path ORDER BY tree), lambda a, b: a + b) / {FOREST_TREES}.0)
+         / (SELECT {_average_path_sql('max(size)')} FROM nodes WHERE node = 0)) AS score
+  FROM walked GROUP BY RowKey
+), forest_lines AS MATERIALIZED (
+  SELECT RowKey, score - (SELECT quantile_cont(score, 0.02) FROM forest_scores) AS anomaly_score,
+         anomaly_reason FROM forest_scores JOIN flagged USING (RowKey)
+)"""
+
+_sampled = lambda s, d: stage(cleaned(s, d).select("RowKey", *FOREST_FEATURES))
+add("forest_samples", "E4",
+    lambda s, d: forest.draw_samples(_sampled(s, d)).withColumnRenamed("_hash", "hash"),
+    f"{_samples_sql} SELECT tree, hash, Quantity, UnitPrice, TotalPrice FROM drawn")
 add("isolation_forest_nodes", "E4",
-    lambda s, d: forest.fit_isolation_forest(
-        stage(cleaned(s, d).select("RowKey", *FOREST_FEATURES))))
+    lambda s, d: rounding(forest.fit_isolation_forest(_sampled(s, d)), 6, "threshold"),
+    f"{_nodes_sql} SELECT tree, node, depth, feature, round(threshold, 6) AS threshold, size FROM nodes")
 add("isolation_forest_lines", "E4 E5 E6 P3",
-    lambda s, d: stages.detect(stage(featured(s, d)), TABLE_LIMITS, ("RowKey",)).select(
-        "RowKey", "anomaly", "anomaly_score", "anomaly_reason"))
+    lambda s, d: rounding(stages.detect(stage(featured(s, d)), TABLE_LIMITS, ("RowKey",)), 9, "anomaly_score")
+    .select("RowKey", "anomaly", "anomaly_score", "anomaly_reason"),
+    f"""{_forest_lines_sql} SELECT RowKey, CASE WHEN anomaly_score < 0 THEN 1 ELSE 0 END AS anomaly,
+               round(anomaly_score, 9) AS anomaly_score, anomaly_reason FROM forest_lines""")
 
-_numbers = ["Quantity", "UnitPrice", "TotalPrice", "Hour", "Day", "MonthNum", "WeekdayNum",
-            "anomaly"]
+_numbers = [*NUMERIC_FEATURES, "anomaly", "anomaly_score"]
 
 
 def _r(a, b):
-    return (f"round(CASE WHEN stddev_pop({a}) * stddev_pop({b}) = 0 THEN NULL ELSE "
-            f"covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) END, 6)")
+    return f"round(CASE WHEN stddev_pop({a}) * stddev_pop({b}) = 0 THEN NULL ELSE corr({a}, {b}) END, 6)"
+
+
+def _one_pass_sql(rows, source="scored_features"):
+    """Rows of (name, SQL value) columns from one aggregate over the source."""
+    cells = ", ".join("{" + ", ".join(f"'{name}': {value}" for name, value in row) + "}" for row in rows)
+    return f"SELECT unnest(cells, recursive := true) FROM (SELECT [{cells}] AS cells FROM {source})"
 
 
 add("correlation_pairs", "E7",
-    lambda s, d: rounding(correlation.correlation_pairs(flagged(s, d), _numbers), 6, "Correlation"),
-    " UNION ALL ".join(
-        f"""SELECT '{a}' AS "Left", '{b}' AS "Right", {_r(a, b)} AS Correlation FROM flagged"""
-        for i, a in enumerate(_numbers) for b in _numbers[i + 1:]))
+    lambda s, d: rounding(correlation.correlation_pairs(scored_features(s, d), _numbers), 6, "Correlation"),
+    _one_pass_sql([(("Left", f"'{a}'"), ("Right", f"'{b}'"), ("Correlation", _r(a, b)))
+                   for i, a in enumerate(_numbers) for b in _numbers[i + 1:]]))
 add("correlation_matrix", "E7",
-    lambda s, d: rounding(correlation.correlation_matrix(flagged(s, d), _numbers), 6, *_numbers),
-    " UNION ALL ".join(
-        f"SELECT '{a}' AS Feature, "
-        + ", ".join(f"{_r(a, b) if a != b else '1.0::DOUBLE'} AS {b}" for b in _numbers)
-        + " FROM flagged" for a in _numbers))
+    lambda s, d: rounding(correlation.correlation_matrix(scored_features(s, d), _numbers), 6, *_numbers),
+    _one_pass_sql([[("Feature", f"'{a}'"), *[(b, _r(a, b) if a != b else "1.0::DOUBLE") for b in _numbers]]
+                   for a in _numbers]))
 add("top_anomaly_correlations", "E8 Q20",
-    lambda s, d: rounding(correlation.top_anomaly_correlations(flagged(s, d), _numbers), 6,
+    lambda s, d: rounding(correlation.top_anomaly_correlations(scored_features(s, d), _numbers), 6,
                           "Correlation", "Strength"),
     "SELECT *, abs(Correlation) AS Strength, CASE WHEN Correlation > 0 THEN 'Positive' "
-    "ELSE 'Negative' END AS Direction FROM (" + " UNION ALL ".join(
-        f"SELECT '{a}' AS Feature, {_r(a, 'anomaly')} AS Correlation FROM flagged"
-        for a in _numbers[:-1]) + ") ORDER BY Strength DESC, Feature LIMIT 10")
+    "ELSE 'Negative' END AS Direction FROM ("
+    + _one_pass_sql([(("Feature", f"'{a}'"), ("Correlation", _r(a, "anomaly")))
+                     for a in _numbers if a != "anomaly"]) + ") ORDER BY Strength DESC, Feature LIMIT 10")
 
 # --- stages ----------------------------------------------------------------------------
 
@@ -808,10 +896,12 @@ add("positional_join", "H1",
        JOIN (SELECT anomaly, row_number() OVER (ORDER BY InvoiceDate, RowKey) AS row_id
              FROM flagged WHERE anomaly = 1) b USING (row_id)""")
 add("joined_anomalies", "H2",
-    lambda s, d: joins.join_anomalies(
-        cleaned(s, d), anomalies.only_anomalies(flagged(s, d)), "RowKey"
-    ).select("RowKey", "CustomerID", "Country", "TotalPrice"),
-    "SELECT RowKey, CustomerID, Country, TotalPrice FROM flagged WHERE anomaly = 1")
+    lambda s, d: rounding(joins.join_anomalies(
+        cleaned(s, d), anomalies.only_anomalies(flagged(s, d)).select("RowKey", "anomaly_score", "anomaly_reason"),
+        "RowKey"), 9, "anomaly_score").select(
+        "RowKey", "CustomerID", "Country", "TotalPrice", "anomaly_score", "anomaly_reason"),
+    """SELECT RowKey, CustomerID, Country, TotalPrice, round(anomaly_score, 9) AS anomaly_score, anomaly_reason
+       FROM flagged WHERE anomaly = 1""")
 add("consistency_check", "H5 Q16",
     lambda s, d: (lambda f: joins.consistency_check(
         f, anomalies.only_anomalies(f).drop("score"), "RowKey"))(stage(flagged(s, d))),
@@ -821,14 +911,14 @@ add("consistency_check", "H5 Q16",
               0::BIGINT AS MissingKeys, TRUE AS ReadyForDashboard FROM flagged""")
 add("verification_report", "H6",
     lambda s, d: (lambda f: joins.verification_report(
-        f, anomalies.only_anomalies(f), ["RowKey"]))(stage(flagged(s, d))).select(
+        f, anomalies.only_anomalies(f), ["RowKey"], "lines", "flagged"))(stage(flagged(s, d))).select(
         F.col("relational.total_records").alias("TotalRecords"),
         F.array_join("relational.columns", ",").alias("Columns"),
         F.col("documents.total_documents").alias("TotalDocuments"),
         F.col("consistency_check.status").alias("Status"),
         F.col("consistency_check.missing_keys").alias("MissingKeys")),
     """SELECT count(*) AS TotalRecords,
-              'Country,CustomerID,Day,Description,Hour,InvoiceDate,InvoiceNo,Month,MonthNum,Quantity'
+              'Country,CustomerID,Day,Description,Hour,InvoiceDate,InvoiceNo,Month,MonthNum,Quantity,RevenueCategory,RowKey,StockCode,TotalPrice,UnitPrice,WeekdayNum,anomaly,anomaly_reason,anomaly_score,score'
                 AS Columns,
               count(*) FILTER (anomaly = 1) AS TotalDocuments, 'VALID' AS Status,
               0::BIGINT AS MissingKeys FROM flagged""")
@@ -882,6 +972,39 @@ add("raw_csv_round_trip", "A1 B2", _through_csv,
               Country FROM raw""")
 
 
+def _through_odd_csv(s, d):
+    """Reordered columns, a further one and a quantity that is no number in a twentieth of the rows."""
+    folder = new_folder(s)
+    bad = F.col("RowKey").endswith("7")
+    odd = raw(s, d).select(
+        F.col("Country").alias(" Country"), "CustomerID", "RowKey", "UnitPrice",
+        F.when(bad, "many").otherwise(F.col("Quantity").cast("string")).alias("Quantity "), "InvoiceDate",
+        "Description", "StockCode", "InvoiceNo")
+    files.export_csv(odd, folder)
+    rows = files.read_raw_csv(s, folder, corrupt="bad_line")
+    return stage(rows).groupBy("Country").agg(
+        F.count("*").alias("Rows"), F.count("bad_line").alias("Unreadable"), F.count("Quantity").alias("Quantities"),
+        F.count_distinct("InvoiceNo").alias("Invoices"))
+
+
+add("reordered_csv", "A1", _through_odd_csv,
+    """SELECT Country, count(*) AS Rows, count(*) FILTER (RowKey LIKE '%7') AS Unreadable,
+              count(*) FILTER (RowKey NOT LIKE '%7') AS Quantities, count(DISTINCT InvoiceNo) AS Invoices
+       FROM raw GROUP BY Country""")
+
+
+def _through_report(s, d):
+    folder = new_folder(s)
+    report = features.project_available(
+        ordering.preview(featured(s, d).drop("InvoiceDate", "CustomerPriceStd"), 20, "RowKey"), REPORT_COLUMNS)
+    files.write_report(report, folder)
+    return s.read.option("header", True).schema(report.schema).csv(folder)
+
+
+add("report_round_trip", "B6 C8", _through_report,
+    f"SELECT {', '.join(_report_fields)} FROM featured ORDER BY RowKey LIMIT 20")
+
+
 def _through_text_csv(s, d):
     folder = new_folder(s)
     files.export_csv(cleaned(s, d).select("Country", "Description", "TotalPrice"), folder)
@@ -942,12 +1065,54 @@ def _through_warehouse(s, d):
 add("warehouse_round_trip", "B5 D13", _through_warehouse,
     """SELECT Month AS month, count(*) AS rows, count(DISTINCT RowKey) AS ids, count(*) AS dated,
               CAST(max(InvoiceDate) AS DATE) AS last FROM timed GROUP BY Month""")
+_warehouse_sql = ", ".join(
+    {"InvoiceDate": "strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S')", "CustomerPriceStd": "round(CustomerPriceStd, 4)",
+     "anomaly_score": "round(anomaly_score, 9)"}.get(source, source) + f" AS {target}"
+    for source, target, _ in WAREHOUSE_COLUMNS)
 add("warehouse_columns", "B5",
-    lambda s, d: _with_text(warehouse.conform_warehouse(
-        flagged(s, d), ["RowKey"], created_at=False).drop("id", "anomaly_score"), "invoice_date"),
-    """SELECT InvoiceNo AS invoice_no, StockCode AS stock_code, Description AS description,
-              Quantity AS quantity, strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S') AS invoice_date,
-              UnitPrice AS unit_price, CustomerID AS customer_id, Country AS country,
-              TotalPrice AS total_price, Hour AS hour, Day AS day, MonthNum AS month_num,
-              WeekdayNum AS weekday_num, Month AS month, RevenueCategory AS revenue_category,
-              anomaly, anomaly_reason FROM flagged""")
+    lambda s, d: rounding(rounding(_with_text(warehouse.conform_warehouse(
+        stage(scored_features(s, d)), ["RowKey"], created_at=False), "invoice_date"), 4, "customer_price_std"),
+        9, "anomaly_score"),
+    f"SELECT row_number() OVER (ORDER BY RowKey) AS id, {_warehouse_sql} FROM scored_features")
+add("warehouse_doubled_rows", "B5",
+    lambda s, d: warehouse.conform_warehouse(cleaned(s, d).union(cleaned(s, d)), ["RowKey"]).agg(
+        F.count("*").alias("Rows"), F.count_distinct("id").alias("Ids"), F.max("id").alias("Last")),
+    "SELECT 2 * count(*) AS Rows, 2 * count(*) AS Ids, 2 * count(*) AS Last FROM timed")
+
+# --- the flow --------------------------------------------------------------------------
+
+
+def _flow_counts(s, d):
+    """Rows of every layer, store and report of a run over the raw lines."""
+    folder = new_folder(s)
+    run.run_all(raw(s, d), folder, TABLE_LIMITS, ("RowKey",), trees=10)
+    sizes = []
+    for name, kind in (
+            *[(f"layers/{x}", "parquet") for x in ("cleaned", "featured", "anomaly", "customer_segments", "customer_behavior")],
+            ("warehouse", "parquet"), ("exports/cleaned", "csv"),
+            *[(f"reports/{x}", "csv") for x in (
+                "01_country_mapping", "02_sample_featured_data", "03_revenue_category_distribution",
+                "07_relational_sample", "10_integration_statistics", "featured_sample")]):
+        rows = s.read.option("header", True).format(kind).load(f"{folder}/{name}")
+        sizes.append(rows.agg(F.lit(name).alias("Name"), F.count("*").alias("Rows")))
+    flagged_rows = s.read.parquet(f"{folder}/layers/anomaly").where("anomaly = 1")
+    stored = s.read.json(f"{folder}/documents")
+    sizes.append(flagged_rows.agg(F.count("*").alias("n")).select(
+        F.lit("documents lacking").alias("Name"),
+        (F.col("n") - stored.agg(F.count("*")).scalar()).alias("Rows")))
+    result = sizes[0]
+    for more in sizes[1:]:
+        result = result.unionByName(more)
+    return result
+
+
+add("flow_counts", "P4", _flow_counts, " UNION ALL ".join(
+    f"SELECT '{name}' AS Name, CAST({count} AS BIGINT) AS Rows FROM timed" for name, count in (
+        ("layers/cleaned", "count(*)"), ("layers/featured", "count(*)"), ("layers/anomaly", "count(*)"),
+        ("layers/customer_segments", "count(DISTINCT CustomerID)"),
+        ("layers/customer_behavior", "count(DISTINCT CustomerID)"), ("warehouse", "count(*)"),
+        ("exports/cleaned", "count(*)"), ("reports/01_country_mapping", "count(DISTINCT Country)"),
+        ("reports/02_sample_featured_data", "least(count(*), 20)"),
+        ("reports/03_revenue_category_distribution", "count(DISTINCT RevenueCategory)"),
+        ("reports/07_relational_sample", "least(count(*), 50)"), ("reports/10_integration_statistics", "max(1)"),
+        ("reports/featured_sample", "least(count(*), 100)"), ("documents lacking", "max(0)"))))

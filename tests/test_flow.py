@@ -2,6 +2,7 @@
 
 import glob
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,12 +48,25 @@ def test_sinks_refuse_unusable_tables(spark, tmp_path):
             files.write_documents(df, str(tmp_path / "d"))
 
 
-def test_single_file_only_for_small_results(spark, tmp_path, monkeypatch):
+def test_single_file_only_for_small_results(spark, tmp_path):
     files.export_csv(spark.range(5), str(tmp_path / "one"), single_file=True)
     assert len(glob.glob(str(tmp_path / "one" / "*.csv"))) == 1
-    monkeypatch.setattr(files, "PLAIN_ROWS", 3)
     with pytest.raises(ValueError, match="one CSV file"):
-        files.export_csv(spark.range(5), str(tmp_path / "two"), single_file=True)
+        files.export_csv(spark.range(5), str(tmp_path / "two"), single_file=True, single_file_rows=3)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text(" Country,CustomerID,Extra,UnitPrice,Quantity,InvoiceDate,Description,StockCode,InvoiceNo \n"
+                    "France,1,e,2.5,3,12/1/2010 8:26,HEART,85,536\nFrance,1,e,2.5,many,12/1/2010 8:26,HEART,85,537\n")
+    rows = files.read_raw_csv(spark, str(path), corrupt="bad_line").cache()
+    found = {r["InvoiceNo"]: r for r in rows.collect()}
+    assert (found["536"]["Country"], found["536"]["Quantity"], found["536"]["bad_line"]) == ("France", 3.0, None)
+    assert found["537"]["Quantity"] is None and "many" in found["537"]["bad_line"]
+    assert tuple(files.unreadable_rows(rows, "bad_line").first()) == (2, 1)
+    path.write_text("Country,CustomerID\nFrance,1\n")
+    with pytest.raises(ValueError, match="missing columns: InvoiceNo"):
+        files.read_raw_csv(spark, str(path))
 
 
 def test_jdbc_settings():
@@ -66,11 +80,32 @@ def test_staging_folder_comes_from_the_session(spark):
     assert staging.staging_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_staged_tables_go_with_their_run(spark):
+    with staging.staged_run(spark) as folder:
+        assert staging.stage(spark.range(3)).count() == 3 and os.listdir(folder)
+    assert not os.path.exists(folder)
+    with pytest.raises(ZeroDivisionError), staging.staged_run(spark) as folder:
+        staging.stage(spark.range(3))
+        1 / 0
+    assert not os.path.exists(folder)
+
+
+def test_ids_of_equal_lines_differ(spark):
+    line = ("536", "85", "HEART", 1.0, "12/1/2010 8:26", 2.5, "1", "France")
+    df = spark.createDataFrame([line] * 5, "InvoiceNo string, StockCode string, Description string, Quantity double, "
+                               "InvoiceDate string, UnitPrice double, CustomerID string, Country string")
+    table = warehouse.conform_warehouse(df.drop("InvoiceDate").withColumn("InvoiceDate", F.timestamp_seconds(F.lit(0))))
+    assert sorted(r["id"] for r in table.collect()) == [1, 2, 3, 4, 5]
+
+
 def test_whole_flow(spark, small, tmp_path):
     source, target = str(tmp_path / "csv"), str(tmp_path / "out")
     raw = retail_raw(spark, small).drop("RowKey")
     files.export_csv(raw, source, compression="gzip")
+    before = set(os.listdir(staging.staging_folder(spark)))
     layers = run_all(files.read_raw_csv(spark, source, 4), target, TABLE_LIMITS, trees=20)
+    assert set(os.listdir(staging.staging_folder(spark))) == before
+    assert glob.glob(f"{target}/layers/featured/Month=*")
     assert layers["cleaned"].count() == layers["anomaly"].count() == 3462
     assert len(layers["anomaly"].columns) == 24
     flagged = only_anomalies(layers["anomaly"]).count()

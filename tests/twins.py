@@ -39,7 +39,7 @@ def differences(spark, connection, folder, name):
     frame = query.run(spark, folder)
     got = [tuple(row) for row in frame.collect()]
     if not query.sql:
-        return [] if got else ["no rows"]
+        return ["no SQL twin"]
     result = connection.execute(query.sql)
     names = [column[0] for column in result.description]
     types = {column[0]: str(column[1]) for column in result.description}

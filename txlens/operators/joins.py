@@ -18,8 +18,9 @@ def positional_join(left, right, left_order, right_order):
 
 
 def join_anomalies(transactions, anomalies, *key):
-    """Full context of the flagged rows, found by key."""
-    return transactions.join(anomalies, list(key), "left_semi")
+    """Full context of the flagged rows, found by key: the transaction and what only the document has."""
+    more = [name for name in anomalies.columns if name not in transactions.columns]
+    return transactions.join(anomalies.select(*key, *more), list(key))
 
 
 def merge_country_counts(df, n=15):
@@ -65,11 +66,10 @@ def consistency_check(everything, subset, *key):
     )
 
 
-def verification_report(everything, subset, key, table="retail_transactions",
-                        collection="retail_anomalies"):
-    """The nested verification document: both stores and the checks between them."""
+def verification_report(everything, subset, key, table, collection):
+    """The nested verification document: both stores (by their given names) and the checks."""
     check = consistency_check(everything, subset, *key)
-    names = F.array(*[F.lit(name) for name in sorted(everything.columns)[:10]])
+    names = F.array(*[F.lit(name) for name in sorted(everything.columns)])
     return check.select(
         F.struct(
             F.lit(table).alias("table"),

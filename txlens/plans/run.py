@@ -15,6 +15,7 @@ from txlens.plans.stages import ROW_KEY, build_features, clean, detect
 from txlens.schemas import REPORT_COLUMNS, SAMPLE_COLUMNS
 from txlens.session import build_session
 from txlens.sources import files, warehouse
+from txlens.staging import staged_run
 
 
 def write_layers(raw, target, limits=DEFAULTS, key=ROW_KEY, **forest):
@@ -22,13 +23,13 @@ def write_layers(raw, target, limits=DEFAULTS, key=ROW_KEY, **forest):
     spark = raw.sparkSession
     layer = f"{target}/layers"
 
-    def saved(df, name):
-        files.write_layer(df, f"{layer}/{name}")
+    def saved(df, name, partition_by=None):
+        files.write_layer(df, f"{layer}/{name}", partition_by)
         return files.read_layer(spark, f"{layer}/{name}")
 
     layers = {"cleaned": saved(clean(raw), "cleaned")}
-    layers["featured"] = saved(build_features(layers["cleaned"], limits), "featured")
-    layers["anomaly"] = saved(detect(layers["featured"], limits, key, **forest), "anomaly")
+    layers["featured"] = saved(build_features(layers["cleaned"], limits), "featured", "Month")
+    layers["anomaly"] = saved(detect(layers["featured"], limits, key, **forest), "anomaly", "Month")
     for name, build in (("customer_segments", customers.customer_segments),
                         ("customer_behavior", customers.customer_behavior)):
         layers[name] = saved(build(layers["featured"], limits), name)
@@ -47,6 +48,9 @@ def store(scored, target, key=ROW_KEY, jdbc=None):
     documents = files.read_documents(spark, f"{target}/documents", scored.schema)
     sent = {"warehouse": (scored, spark.read.parquet(f"{target}/warehouse")),
             "documents": (anomalies.only_anomalies(scored), documents)}
+    if jdbc:
+        access = {name: value for name, value in jdbc.items() if name != "batch"}
+        sent["jdbc"] = (scored, warehouse.read_jdbc(spark, **access))
     for name, (rows, stored) in sent.items():
         check = files.write_check(rows, stored).first()
         if not check["Complete"]:
@@ -75,7 +79,8 @@ def write_reports(raw, layers, documents, target, key=ROW_KEY):
     }
     for name, report in reports.items():
         files.write_report(report, f"{folder}/{name}")
-    verification = joins.with_report_time(joins.verification_report(scored, documents, key))
+    verification = joins.with_report_time(joins.verification_report(
+        scored, documents, key, "retail_transactions", "retail_anomalies"))
     files.write_report(verification, f"{folder}/06_integration_verification", kind="json")
     files.export_csv(layers["cleaned"], f"{target}/exports/cleaned")
     files.export_csv(anomalies.only_anomalies(scored), f"{target}/exports/anomalies")
@@ -84,9 +89,16 @@ def write_reports(raw, layers, documents, target, key=ROW_KEY):
 
 def run_all(raw, target, limits=DEFAULTS, key=ROW_KEY, jdbc=None, trees=FOREST_TREES,
             sample=FOREST_SAMPLE, seed=FOREST_SEED):
-    """Run every step on a raw frame. ``jdbc``: url, table, … of a relational store."""
-    key = list(key)
-    raw = cleaning.strip_column_names(raw)
+    """Run every step on a raw frame. ``jdbc``: url, table, … of a relational store.
+
+    Tables staged on the way are removed at the end.
+    """
+    with staged_run(raw.sparkSession):
+        return _run_all(cleaning.strip_column_names(raw), target, limits, list(key), jdbc,
+                        trees, sample, seed)
+
+
+def _run_all(raw, target, limits, key, jdbc, trees, sample, seed):
     layers = write_layers(raw, target, limits, key, trees=trees, sample=sample, seed=seed)
     documents = store(layers["anomaly"], target, key, jdbc)
     order = ["InvoiceDate", *[name for name in key if name != "InvoiceDate"]]

@@ -1,16 +1,19 @@
 """Column names and types of every layer, as schema strings."""
 
+# Columns and types of the raw layer.
 RAW = (
     "InvoiceNo string, StockCode string, Description string, Quantity double, "
     "InvoiceDate string, UnitPrice double, CustomerID string, Country string"
 )
 CLEANED = RAW + ", TotalPrice double"
 
+# The numeric columns of the featured layer.
 NUMERIC_FEATURES = (
     "Quantity", "UnitPrice", "TotalPrice", "Hour", "Day", "MonthNum", "WeekdayNum",
     "CountryEncoded", "ProductFrequency", "AvgCustomerSpend", "CustomerFrequency",
     "CustomerTotalQty", "CustomerPriceStd",
 )
+# Columns and types of the other layers.
 FEATURED = (
     "InvoiceNo string, StockCode string, Description string, Quantity double, "
     "InvoiceDate timestamp, UnitPrice double, CustomerID string, Country string, "
@@ -41,7 +44,7 @@ LAYERS = {
     "joined": JOINED,
 }
 
-# Values for feature columns that come out empty.
+# Defaults of feature columns that come out empty.
 FEATURE_DEFAULTS = {
     "CountryEncoded": 0.0,
     "ProductFrequency": 0.0,
@@ -92,6 +95,7 @@ REPORT_COLUMNS = (
     "CountryEncoded", "ProductFrequency", "AvgCustomerSpend", "CustomerFrequency",
     "CustomerTotalQty", "CustomerPriceStd",
 )
+# The columns of the top transactions.
 TOP_TRANSACTION_COLUMNS = (
     "InvoiceNo", "CustomerID", "Description", "Quantity", "UnitPrice", "TotalPrice",
     "Country",

@@ -4,28 +4,50 @@ from pyspark.sql import functions as F
 
 from txlens.operators.anomalies import only_anomalies
 from txlens.operators.cleaning import strip_column_names
-from txlens.operators.ordering import PLAIN_ROWS
 from txlens.schemas import LAYERS, RAW
 
-DOCUMENTS_PER_FILE = 5000
+#: Rows that a single CSV file may hold, unless the caller says otherwise.
+SINGLE_FILE_ROWS = 1_000_000
 
 
-def read_raw_csv(spark, path, partitions=None):
+def read_raw_csv(spark, path, partitions=None, corrupt=None):
     """Invoice lines from CSV (plain or gzip), without a schema inference pass.
 
-    Header names may carry blanks, so columns are matched by position. A gzip file is
-    read by one task; ``partitions`` spreads its rows for the stages that follow.
+    Columns are found by their header names, blanks stripped, in any order; further columns are
+    left out and missing ones refused. All files of ``path`` share the first one's header.
+    Unreadable values become NULL; ``corrupt`` names a column that keeps the text of such rows
+    (see ``unreadable_rows``). A gzip file is read by one task, so its rows are spread over
+    ``partitions`` tasks, by default as many as there are cores.
     """
+    kinds = dict(field.split() for field in RAW.split(", "))
+    header = spark.read.option("header", True).csv(path)
+    names = [name.strip() for name in header.columns]
+    lacking = [name for name in kinds if name not in names]
+    if lacking:
+        raise ValueError(f"missing columns: {', '.join(lacking)}")
+    broken = corrupt or "_corrupt_record"
+    schema = ", ".join([*[f"`{name}` {kinds.get(name, 'string')}" for name in names], f"`{broken}` string"])
     rows = (
-        spark.read.schema(RAW)
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", broken)
         .csv(path)
     )
+    rows = rows.select(*kinds, *([broken] if corrupt else []))
+    files = header.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if partitions is None and len(files) < cores and any(f.endswith(".gz") for f in files):
+        partitions = cores
     return rows.repartition(partitions) if partitions else rows
 
 
+def unreadable_rows(rows, corrupt):
+    """One row: all rows read, and those with a value that could not be read."""
+    return rows.agg(F.count("*").alias("Rows"), F.count(corrupt).alias("Unreadable"))
+
+
 def read_text_csv(spark, path, casts=None):
     """A CSV file with all columns as text, some of them cast afterwards."""
     rows = strip_column_names(spark.read.option("header", True).csv(path))
@@ -47,11 +69,11 @@ def write_layer(df, path, partition_by=None):
     writer.parquet(path)
 
 
-def export_csv(df, path, single_file=False, compression="none"):
-    """CSV with a header; one file only for results that are known to be small."""
+def export_csv(df, path, single_file=False, compression="none", single_file_rows=SINGLE_FILE_ROWS):
+    """CSV with a header; one file is refused for more than ``single_file_rows`` rows."""
     if single_file:
-        if df.limit(PLAIN_ROWS + 1).count() > PLAIN_ROWS:
-            raise ValueError(f"more than {PLAIN_ROWS} rows do not belong in one CSV file")
+        if df.limit(single_file_rows + 1).count() > single_file_rows:
+            raise ValueError(f"more than {single_file_rows} rows do not belong in one CSV file")
         df = df.coalesce(1)
     df.write.mode("overwrite").option("header", True).csv(path, compression=compression)
 
@@ -74,11 +96,14 @@ def require_loadable(df, *columns):
     return df
 
 
-def write_documents(df, path):
-    """Replace the document collection by the flagged rows, one JSON object each."""
+def write_documents(df, path, records_per_file=0):
+    """Replace the document collection by the flagged rows, one JSON object each.
+
+    Files follow the tasks that write them; ``records_per_file`` (0: no limit) cuts them further.
+    """
     require_loadable(df, "anomaly")
     flagged = require_loadable(only_anomalies(df))
-    flagged.write.mode("overwrite").option("maxRecordsPerFile", DOCUMENTS_PER_FILE).json(path)
+    flagged.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
 
 
 def read_documents(spark, path, schema=LAYERS["anomaly"]):

@@ -19,12 +19,12 @@ def table(spark, folder, name):
 
 
 def spread(df, *keys):
-    """Use all cores for a source that has fewer splits than there are cores.
+    """Use all cores for a source that has fewer files than there are cores.
 
-    A large source has far more splits than cores and is left as it is, unshuffled.
+    A large source has far more files and splits than cores and is left as it is, unshuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
 
 
 def retail_raw(spark, folder):

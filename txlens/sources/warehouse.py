@@ -2,22 +2,25 @@
 
 from pyspark.sql import functions as F
 
+from txlens.operators.ordering import row_number_global
 from txlens.schemas import WAREHOUSE_COLUMNS
 
 
 def conform_warehouse(df, key=None, created_at=True):
-    """Rename and cast to the table's columns; the id is a hash of the row key.
+    """Rename and cast to the table's columns; the id is the row's position in key order.
 
-    Without a key column all raw columns together identify the row.
+    Without a key column all raw columns together order the rows. Equal rows get ids of their
+    own, so the id can be a primary key.
     """
     key = list(key or ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate",
                        "UnitPrice", "CustomerID", "Country"))
-    columns = [F.xxhash64(*key).alias("id")]
+    numbered = row_number_global(df, key, "_warehouse_id")
+    columns = [F.col("_warehouse_id").alias("id")]
     columns += [F.col(source).cast(kind).alias(target)
                 for source, target, kind in WAREHOUSE_COLUMNS if source in df.columns]
     if created_at:
         columns.append(F.current_timestamp().alias("created_at"))
-    return df.select(*columns)
+    return numbered.select(*columns)
 
 
 def write_warehouse(table, path):
