@@ -8,6 +8,8 @@ not compared.
 
 from pyspark.sql import functions as F
 
+from txlens.llm.textkit import once
+
 #: Wording of public licence notices.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -29,11 +31,6 @@ def _normal(text):
     return F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}\\n]+", " ")
 
 
-def _with(value, use):
-    """``use(value)`` with the value worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _words(unit):
     return F.filter(F.split(unit, " "), lambda w: w != "")
 
@@ -77,7 +74,7 @@ def license_hits(docs, templates=None, least=0.8):
                      F.transform("lines", lambda x, i: F.struct(i.alias("line"), x.alias("unit"))))
     df = df.select("doc_id", units.alias("units"))
     # a set of bigrams is no larger than the number of words less one
-    sized = F.transform("units", lambda u: _with(_words(u["unit"]), lambda w: F.when(
+    sized = F.transform("units", lambda u: once(_words(u["unit"]), lambda w: F.when(
         F.size(w) - 1 >= max(low, 1), F.struct(u["line"].alias("line"), _bigrams(w).alias("bigrams")))))
     fitting = F.filter(sized, lambda x: x.isNotNull() & F.size(x["bigrams"]).between(low, high)
                        & F.arrays_overlap(x["bigrams"], anything))

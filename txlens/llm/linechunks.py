@@ -10,6 +10,7 @@ with the first one's.
 
 from pyspark.sql import functions as F
 
+from txlens.llm.textkit import once
 from txlens.staging import stage
 
 #: The rolling hash works modulo this prime, with this factor for the earlier line.
@@ -19,21 +20,35 @@ FACTOR = 1103515245
 LEAST_CHARS = 20
 
 
+def _starts(lines):
+    """First lines of the chunks. Every step is bound once, so no optimiser can nest its work."""
+    def hashed(x):
+        return F.conv(F.substring(F.md5(x), 1, 15), 16, 10).cast("long") % PRIME
+
+    def rolled(h):
+        return F.transform(h, lambda x, i: (F.coalesce(F.get(h, i - 1), F.lit(0).cast("long")) * FACTOR + x) % PRIME)
+
+    def lowest(r):
+        after = F.lit(PRIME).cast("long")
+        opens = F.transform(r, lambda x, i: F.when(
+            (i == 0) | ((x < F.get(r, i - 1)) & (x < F.coalesce(F.get(r, i + 1), after))), i))
+        return F.filter(opens, lambda i: i.isNotNull())
+
+    return once(once(F.transform(lines, hashed), rolled), lowest)
+
+
 def _chunks(df):
     """Add ``_lines`` and ``_chunks``: first line * 2**32 + line after the last, for each chunk."""
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     df = df.withColumn("_lines", F.split(body, "\n", -1))
-    number = F.transform("_lines", lambda x: F.conv(F.substring(F.md5(x), 1, 15), 16, 10).cast("long") % PRIME)
-    df = df.withColumn("_hashes", number)
-    df = df.withColumn("_rolled", F.transform("_hashes", lambda h, i: (
-        F.coalesce(F.get("_hashes", i - 1), F.lit(0).cast("long")) * FACTOR + h) % PRIME))
-    starts = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: (i == 0) | (
-        (F.get("_rolled", i) < F.get("_rolled", i - 1))
-        & (F.get("_rolled", i) < F.coalesce(F.get("_rolled", i + 1), F.lit(PRIME).cast("long")))))
-    df = df.withColumn("_starts", starts)
-    chunks = F.transform("_starts", lambda s, k: F.shiftleft(s.cast("long"), 32)
-                         + F.coalesce(F.get("_starts", k + 1), F.size("_lines")))
-    return df.withColumn("_chunks", chunks).drop("_hashes", "_rolled", "_starts")
+
+    def spans(bound):
+        starts = bound["starts"]
+        return F.transform(starts, lambda s, k: F.shiftleft(s.cast("long"), 32)
+                           + F.coalesce(F.get(starts, k + 1), bound["n"]))
+
+    bound = F.struct(_starts(F.col("_lines")).alias("starts"), F.size("_lines").alias("n"))
+    return df.withColumn("_chunks", once(bound, spans))
 
 
 def _first(chunk):
@@ -90,8 +105,8 @@ def dedup_lines(docs):
                          F.struct("*").alias("_row"))
     cut = _chunks(packed.join(gone, F.col("doc_id") == F.col("_id"), "left"))
     kept = F.array_except("_chunks", "gone")
-    rebuilt = F.array_join(F.flatten(F.transform(
-        kept, lambda c: F.slice("_lines", _first(c) + 1, _size(c)))), "\n")
+    rebuilt = once(F.col("_lines"), lambda lines: F.array_join(F.flatten(F.transform(
+        kept, lambda c: F.slice(lines, _first(c) + 1, _size(c)))), "\n"))
     removed = F.aggregate(F.array_intersect("_chunks", "gone"), F.lit(0), lambda n, c: n + _size(c))
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(rebuilt)
     row = F.col("_row").withField("text", text)

@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from txlens.llm.textkit import WORD_GAP
+from txlens.llm.textkit import WORD_GAP, once
 from txlens.staging import stage
 
 SYMBOLS = "#*$%&|<>"
@@ -45,24 +45,28 @@ def text_statistics(df, text="text"):
         "n_marks": (F.length("_body") - F.length(F.translate("_body", "!?", ""))).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_windows": F.when(F.size("_words") >= WINDOW, F.transform(
-            F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))).otherwise(F.array().cast("array<bigint>")),
+        "_windows": once(F.col("_words"), lambda words: F.when(F.size(words) >= WINDOW, F.transform(
+            F.sequence(F.lit(1), F.size(words) - (WINDOW - 1)),
+            lambda i: F.xxhash64(F.slice(words, i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))),
     }).drop("_body", "_words", "_lines")
     # only texts with a repeated window go through the sort
-    df = df.withColumn("_sorted", F.when(
+    sorted_windows = F.when(
         F.size(F.array_distinct("_windows")) < F.size("_windows"),
-        F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    twice = F.transform("_sorted", lambda x, k: F.when(
-        (x["h"] == F.get("_sorted", k - 1)["h"]) | (x["h"] == F.get("_sorted", k + 1)["h"]), x["i"]))
-    df = df.withColumn("_twice", F.array_sort(F.filter(twice, lambda i: i.isNotNull())))
+        F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+
+    def twice(order):
+        marked = F.transform(order, lambda x, k: F.when(
+            (x["h"] == F.get(order, k - 1)["h"]) | (x["h"] == F.get(order, k + 1)["h"]), x["i"]))
+        return F.array_sort(F.filter(marked, lambda i: i.isNotNull()))
+
+    df = df.withColumn("_twice", once(sorted_windows, twice))
     covered = F.aggregate(
         "_twice", F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
         lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(i - s["last"], F.lit(WINDOW))).alias("n")),
         lambda s: s["n"])
     df = df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_windows", "_sorted", "_twice")
+    return df.withColumn("base_failed", failed).drop("_windows", "_twice")
 
 
 def _statistic(rule):

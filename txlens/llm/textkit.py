@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 #: The separators of words: space and \t to \r.
 BREAKS = np.zeros(256, dtype=bool)
@@ -10,6 +11,15 @@ WORD_GAP = "[\\x20\\x09-\\x0D]+"
 U64 = np.uint64
 
 
+def once(value, use):
+    """``use(value)`` with the value bound, so that it is worked out once wherever it is used.
+
+    A column that a lambda refers to may be replaced by its whole expression when filters are
+    pushed down, and then costs that expression for every element; a bound one does not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def utf8(column):
     """The bytes of a text column and its offsets; nulls count as empty texts."""
     if column.null_count:
