@@ -386,7 +386,7 @@ def test_tool_calls(spark):
 
 def test_raking_meets_every_target(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    cells = mixing.count_cells(docs, mixing.form_topic())
+    cells = mixing.count_cells(docs)
     targets = mixing.tempered_targets(cells)
     raked = mixing.rake(cells, targets, rounds=40, tolerance=1e-9).collect()
     for name in mixing.DIMENSIONS:

@@ -1,9 +1,7 @@
 """Mixing sources to target weights: raking, then sampling by calibrated probabilities.
 
 Token counts are summed by cell (source, language, topic). Iterative proportional fitting
-scales the cells until their shares agree with the target shares of every dimension; a cell's
-weight is the product of one factor per dimension, so only the factor tables change from
-round to round. Documents are then drawn with probabilities in proportion to their cell's
+scales the cells until their shares agree with the target shares of every dimension. Documents are then drawn with probabilities in proportion to their cell's
 weight per token.
 """
 
@@ -17,12 +15,10 @@ DIMENSIONS = ("source", "lang", "topic")
 NONE = "(none)"
 
 
-def form_topic(text="text"):
+def form_topic(text, words):
     """A topic by form: table, marked (symbols or calls), note, article or long text."""
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    words = n_tokens(text)
-    marks = F.length(body) - F.length(F.translate(body, "#*$%&!", ""))
-    bars = F.length(body) - F.length(F.translate(body, "|", ""))
+    marks = F.length(text) - F.length(F.translate(text, "#*$%&!", ""))
+    bars = F.length(text) - F.length(F.translate(text, "|", ""))
     return (F.when(10 * bars > words, "table").when(2 * marks > words, "marked")
             .when(words < 100, "note").when(words < 1000, "article").otherwise("long"))
 
@@ -44,51 +40,47 @@ def tempered_targets(cells, power=0.7):
     return out
 
 
-def count_cells(docs, topic):
+def count_cells(docs, topic=None):
     """Documents and tokens of every cell; nulls of a dimension count as ``NONE``."""
     return stage(_celled(docs, topic).groupBy(*DIMENSIONS).agg(
         F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")))
 
 
 def _celled(docs, topic):
-    return docs.select(
+    """Rows with their cell and tokens; ``topic`` is a column of ``docs``, by form if None."""
+    rows = docs.select(
         F.struct("*").alias("row"), *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")],
-        F.coalesce(topic, F.lit(NONE)).alias("topic"), n_tokens().alias("n_tokens"), F.col("doc_id").alias("doc_id"))
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"), n_tokens().alias("n_tokens"),
+        F.col("doc_id").alias("doc_id"), (F.lit(None) if topic is None else topic).cast("string").alias("topic"))
+    if topic is None:
+        rows = rows.withColumn("topic", form_topic(F.col("body"), F.col("n_tokens")))
+    return rows.drop("body").withColumn("topic", F.coalesce("topic", F.lit(NONE)))
 
 
 def rake(cells, targets, rounds=10, tolerance=0.0):
     """``cells`` with ``weight``: the share each token of the cell should have.
 
     ``targets[dimension]`` has the value and its share; a value without a target gets none. Stops
-    after ``rounds``, or when no factor of the first dimension moves by more than ``tolerance``.
-    Cells without tokens are carried along and get the weight of their factors.
+    after ``rounds``, or when no weight moves by more than ``tolerance``. Cells without tokens
+    follow the others of their values. A round is one written table: sums by value are aggregated in
+    parts before they move, and joined back.
     """
-    factors = {name: stage(targets[name].select(name, F.lit(1.0).alias(f"f_{name}"))) for name in DIMENSIONS}
+    cells = cells.select(*DIMENSIONS, "tokens", "docs", F.lit(1.0).alias("weight"))
     for _ in range(rounds):
+        fitted = cells.withColumn("before", F.col("weight"))
         for name in DIMENSIONS:
-            table = cells
-            for other in DIMENSIONS:
-                if other != name:
-                    table = table.join(factors[other], other)
-            product = F.col("tokens").cast("double")
-            for other in DIMENSIONS:
-                if other != name:
-                    product = product * F.col(f"f_{other}")
-            mass = table.groupBy(name).agg(F.sum(product).alias("mass"))
-            fitted = targets[name].join(mass, name, "left").select(
-                name, F.when(F.col("mass") > 0, F.col("share") / F.col("mass")).otherwise(0.0).alias(f"f_{name}"))
-            before, factors[name] = factors[name], stage(fitted)
-            if name == DIMENSIONS[0] and tolerance:
-                now = factors[name].join(before.withColumnRenamed(f"f_{name}", "old"), name)
-                moved = now.agg(F.max(F.abs(F.col(f"f_{name}") / F.col("old") - 1))).first()[0]
-        if tolerance and (moved or 0.0) <= tolerance:
-            break
-    for name in DIMENSIONS:
-        cells = cells.join(factors[name], name, "left")
-    weight = F.lit(1.0)
-    for name in DIMENSIONS:
-        weight = weight * F.coalesce(f"f_{name}", F.lit(0.0))
-    return stage(cells.select(*DIMENSIONS, "tokens", "docs", weight.alias("weight")))
+            mass = fitted.groupBy(name).agg(F.sum(F.col("tokens") * F.col("weight")).alias("mass"))
+            scale = targets[name].join(mass, name).select(
+                name, F.when(F.col("mass") > 0, F.col("share") / F.col("mass")).otherwise(0.0).alias("scale"))
+            fitted = fitted.join(scale, name, "left").withColumn(
+                "weight", F.col("weight") * F.coalesce("scale", F.lit(0.0))).drop("scale")
+        fitted = stage(fitted)
+        cells = fitted.drop("before")
+        if tolerance:
+            moved = fitted.where("before > 0").agg(F.max(F.abs(F.col("weight") / F.col("before") - 1))).first()[0]
+            if (moved or 0.0) <= tolerance:
+                break
+    return cells
 
 
 def chance(column, seed):
@@ -100,13 +92,12 @@ def chance(column, seed):
 def mix(docs, topic=None, targets=None, keep=0.5, power=0.7, rounds=10, tolerance=0.0, seed="mix"):
     """One row per document: doc_id, cell, n_tokens, probability, weight, sampled, row.
 
-    Needs doc_id, text, source and lang; ``row`` is the input row as a struct. The expected tokens
+    Needs doc_id, text, source and lang; ``topic`` is a column expression (by form if None); ``row`` is the input row as a struct. The expected tokens
     are ``keep`` of all; a probability that would pass 1 is cut to 1 and ``weight`` (else 1) makes up for it, so that
     weighted tokens meet the targets. A document is drawn or not by a hash of its doc_id: runs
     agree, and repeated rows go together. The table of cells is written, so Spark knows its size
     when it chooses the join; it has one row per cell.
     """
-    topic = form_topic() if topic is None else topic
     cells = count_cells(docs, topic)
     targets = {k: stage(v) for k, v in (targets or tempered_targets(cells, power)).items()}
     raked = rake(cells, targets, rounds, tolerance)
