@@ -214,6 +214,17 @@ def test_decontamination_by_brute_force(spark):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _ in docs if d not in {e[0] for e in expected})
 
 
+def test_decontamination_of_repetitive_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "PAIRS", 1000)
+    words = decontam.Words(pa.array(["ab " * 500, "x", "xy " * 200 + PASSAGE + " ab" * 30, None]))
+    text, region, edits = decontam._leaks(words, decontam.Regions([(1, "ab " * 60), (2, PASSAGE)]))
+    assert set(text.tolist()) == {0, 2} and max(edits) <= 5
+    one = set(zip(text.tolist(), region.tolist()))
+    monkeypatch.setattr(decontam, "PAIRS", 1 << 21)
+    text, region, _ = decontam._leaks(words, decontam.Regions([(1, "ab " * 60), (2, PASSAGE)]))
+    assert set(zip(text.tolist(), region.tolist())) == one
+
+
 def test_decontamination_of_odd_rows(spark, odd, nothing):
     bench = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
     assert {r[0] for r in rows(decontam.find_leaks(odd, bench))} == {7, 8, 9}

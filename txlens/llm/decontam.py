@@ -24,6 +24,8 @@ BYTES_PER_EDIT = 12
 #: Items shorter than this are no evidence of a leak.
 SHORTEST = 32
 SLOTS = 22
+#: Shared q-grams that are counted at once.
+PAIRS = 1 << 21
 FACTOR = U64(0x9E3779B97F4A7C15)
 
 
@@ -108,35 +110,49 @@ def _align(data, low, high, first, regions, which):
     return cost.min(axis=1)
 
 
+def _banded(at, left, count, regions, low, high, texts, names, number):
+    """Shared q-grams per (text, region, band) with those of more places added."""
+    entry = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
+    at = np.repeat(at, count)
+    text = texts[np.searchsorted(low[texts], at, side="right") - 1]
+    region, inside = regions.region[entry], at + Q <= high[text]
+    text, region, diagonal = text[inside], region[inside], (at - regions.place[entry])[inside]
+    band = (diagonal - low[text] + REGION) // (regions.edits[region] + 1)
+    more = np.stack([np.tile(text, 2), np.tile(region, 2), np.concatenate([band, band - 1])])
+    names = np.concatenate([names, more], axis=1)
+    number = np.concatenate([number, np.ones(more.shape[1], np.int64)])
+    order = np.lexsort(names)
+    names, number = names[:, order], number[order]
+    new = np.ones(names.shape[1], dtype=bool)
+    new[1:] = (names[:, 1:] != names[:, :-1]).any(axis=0)
+    heads = np.flatnonzero(new)
+    return names[:, heads], np.add.reduceat(number, heads) if len(heads) else number
+
+
 def _leaks(words, regions):
     """(text, region, edits) of every region found in a piece of texts."""
     data, grams = words.data, _grams(words.data)
     hit = regions.slots[regions.slot(grams)]
     span = int(regions.length.max() + regions.edits.max()) - Q + 1
     at = _dense(hit, span, int(regions.bound.min()))
-    left = np.searchsorted(regions.keys, grams[at], side="left")
-    count = np.searchsorted(regions.keys, grams[at], side="right") - left
-    entry = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
-    at = np.repeat(at, count)
     filled = words.of[:-1] < words.of[1:]
     low = np.zeros(len(filled), np.int64)
     high = np.zeros(len(filled), np.int64)
     low[filled] = words.start[words.of[:-1][filled]]
     high[filled] = words.end[words.of[1:][filled] - 1]
     texts = np.flatnonzero(filled)
-    text = texts[np.searchsorted(low[texts], at, side="right") - 1] if len(at) else at
-    region, inside = regions.region[entry], at + Q <= high[text] if len(at) else at > 0
-    text, region, diagonal = text[inside], region[inside], (at - regions.place[entry])[inside]
-    step = regions.edits[region] + 1
-    band = (diagonal - low[text] + REGION) // step
-    names = np.stack([np.tile(text, 2), np.tile(region, 2), np.concatenate([band, band - 1])])
-    order = np.lexsort(names)
-    names = names[:, order]
-    new = np.ones(names.shape[1], dtype=bool)
-    new[1:] = (names[:, 1:] != names[:, :-1]).any(axis=0)
-    heads = np.flatnonzero(new)
-    count = np.diff(np.append(heads, len(new)))
-    text, region, band = names[:, heads[count >= regions.bound[names[1, heads]]]]
+    left = np.searchsorted(regions.keys, grams[at], side="left")
+    count = np.searchsorted(regions.keys, grams[at], side="right") - left
+    total = np.cumsum(count)
+    names, number = np.empty((3, 0), np.int64), np.empty(0, np.int64)
+    start = 0
+    while start < len(at):  # a few million shared q-grams at a time, however often they repeat
+        before = total[start - 1] if start else 0
+        end = max(int(np.searchsorted(total, before + PAIRS, side="right")), start + 1)
+        names, number = _banded(
+            at[start:end], left[start:end], count[start:end], regions, low, high, texts, names, number)
+        start = end
+    text, region, band = names[:, number >= regions.bound[names[1]]]
     if not len(text):
         return text, region, band
     first = band * (regions.edits[region] + 1) - REGION + low[text]
