@@ -115,12 +115,11 @@ def test_halves_inside_one_busy_moment(spark, monkeypatch, shallow):
     assert row["FirstHalf"] + row["SecondHalf"] == pytest.approx(data["TotalPrice"].sum())
 
 
-def test_hash_bound_changes_nothing(spark, monkeypatch):
+def test_hash_bound_changes_nothing(spark):
     df = skewed(spark)
-    plain = ordering.sample_n(df, 30, 1, "RowKey").collect()
-    monkeypatch.setattr(ordering, "PLAIN_ROWS", 100)
-    bounded = ordering.sample_n(df, 30, 1, "RowKey")
-    assert bounded.collect() == plain and len(plain) == 30
+    text = F.md5(F.concat("RowKey", F.lit("|1")))
+    plain = df.orderBy(text).limit(30).collect()
+    assert ordering.sample_n(df, 30, 1, "RowKey").collect() == plain and len(plain) == 30
     assert ordering.sample_n(df.repartition(3), 30, 1, "RowKey").collect() == plain
     assert ordering.sample_n(df, 30, 2, "RowKey").collect() != plain
     assert ordering.sample_n(df.limit(5), 30, 1, "RowKey").count() == 5

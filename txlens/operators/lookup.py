@@ -61,7 +61,7 @@ def apply_codes(df, codes, column, name, default):
 
 def encode_by_frequency(df, column, name, source=None):
     """Frequency rank of the label; NULL gets the number of labels."""
-    codes = stage(frequency_codes(source or df, column, name))
+    codes = frequency_codes(source or df, column, name)
     return attach(df, codes, column, {name: float(codes.count())}, staged=True)
 
 

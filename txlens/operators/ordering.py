@@ -16,8 +16,6 @@ from txlens.staging import stage
 
 #: Pages that end by this row are simply sorted and cut.
 SHALLOW_ROWS = 10_000
-#: Tables up to this size are not filtered by a hash bound before their sample is sorted.
-PLAIN_ROWS = 1_000_000
 #: Rows of one range, that is, of one sorting task, when positions are given out.
 ROWS_PER_RANGE = 4_000_000
 
@@ -128,20 +126,17 @@ def page(df, order, number, size=50, shallow=SHALLOW_ROWS, rows_per_range=ROWS_P
     return inside.orderBy(*order).offset(first + 1 - start).limit(size)
 
 
-def smallest_by_hash(df, hash_column, n, *ties, rows=None):
+def smallest_by_hash(df, hash_column, n, *ties):
     """The ``n`` rows with the smallest 32-digit hex hash.
 
-    On a large table a hash bound first removes almost everything, so that the final
-    sort sees a few times ``n`` rows however many tasks scanned. The bound only ever
+    One pass counts the rows below a ladder of bounds; the lowest bound with enough rows then
+    leaves a few times ``n`` rows for the final sort, however many tasks scan. It only ever
     removes rows that cannot be among the ``n`` smallest.
     """
-    rows = df.count() if rows is None else rows
-    kept = df
-    if rows > max(PLAIN_ROWS, 16 * n):
-        bound = f"{int(4 * n / rows * 2**32):08x}"
-        below = df.where(F.col(hash_column) < bound)
-        if below.count() >= n:
-            kept = below
+    bounds = [f"{1 << (32 - 2 * k):08x}" for k in range(1, 17)]
+    below = df.agg(*[F.count_if(F.col(hash_column) < bound) for bound in bounds]).first()
+    enough = [bound for bound, rows in zip(bounds, below) if rows >= n]
+    kept = df.where(F.col(hash_column) < enough[-1]) if enough else df
     return kept.orderBy(hash_column, *ties).limit(n)
 
 

@@ -28,7 +28,7 @@ def write_layers(raw, target, limits=DEFAULTS, key=ROW_KEY, **forest):
         return files.read_layer(spark, f"{layer}/{name}")
 
     layers = {"cleaned": saved(clean(raw), "cleaned")}
-    layers["featured"] = saved(build_features(layers["cleaned"], limits), "featured", "Month")
+    layers["featured"] = saved(build_features(layers["cleaned"], limits, staged=True), "featured", "Month")
     layers["anomaly"] = saved(detect(layers["featured"], limits, key, **forest), "anomaly", "Month")
     for name, build in (("customer_segments", customers.customer_segments),
                         ("customer_behavior", customers.customer_behavior)):

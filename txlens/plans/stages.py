@@ -12,6 +12,9 @@ ROW_KEY = ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "
            "CustomerID", "Country")
 
 
+LOOKUP_COLUMNS = ("Country", "StockCode", "CustomerID", "Quantity", "TotalPrice")
+
+
 def clean(raw, required=None):
     """Raw invoice lines to complete, sold and priced lines with their total.
 
@@ -26,18 +29,20 @@ def clean(raw, required=None):
     )
 
 
-def build_features(cleaned, limits=DEFAULTS):
+def build_features(cleaned, limits=DEFAULTS, staged=False):
     """Cleaned lines to the featured layer.
 
-    Each of the three lookup tables reads its own few columns of ``cleaned``; the rows
-    themselves are read once and not shuffled unless a lookup table is large.
+    The three lookup tables read a staged copy of the few columns they need, unless ``cleaned``
+    is a plain scan already (``staged``); the rows themselves are read once and not shuffled
+    unless a lookup table is large.
     """
+    source = cleaned if staged else stage(cleaned.select(*LOOKUP_COLUMNS))
     return (
         cleaned.transform(features.with_time_features)
         .transform(features.with_revenue_category, limits)
-        .transform(encode_by_frequency, "Country", "CountryEncoded", cleaned)
-        .transform(features.with_product_frequency, cleaned)
-        .transform(features.with_customer_features, cleaned)
+        .transform(encode_by_frequency, "Country", "CountryEncoded", source)
+        .transform(features.with_product_frequency, source)
+        .transform(features.with_customer_features, source)
         .transform(features.fill_defaults)
         .transform(features.cast_numeric)
     )
