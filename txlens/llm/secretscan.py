@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import functions as F
 
+from txlens.llm.textkit import once
 from txlens.staging import stage
 
 
@@ -61,7 +62,7 @@ def _spans(rule, rank, text="text"):
             return F.struct(end.alias("at"), out.alias("out"))
         return F.aggregate(numbered, F.struct(F.lit(0).alias("at"), nothing.alias("out")), go, lambda s: s["out"])
 
-    return F.when(F.regexp_like(text, pattern), walk(gaps)).otherwise(F.array().cast(SPAN))
+    return F.when(F.regexp_like(text, pattern), once(gaps, walk)).otherwise(F.array().cast(SPAN))
 
 
 def scan(docs, ledger=None, rules=RULES):
