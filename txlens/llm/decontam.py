@@ -62,7 +62,8 @@ class Regions:
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
         self.region = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
-        self.place = np.concatenate([np.empty(0, np.int64), *[np.arange(len(g)) for g in grams]])[order].astype(np.int64)
+        places = np.concatenate([np.empty(0, np.int64), *[np.arange(len(g)) for g in grams]])
+        self.place = places.astype(np.int64)[order]
         self.slots = np.zeros(1 << SLOTS, dtype=bool)
         self.slots[self.slot(self.keys)] = True
         self.padded = np.zeros((len(self.texts), REGION), np.uint8)
@@ -199,7 +200,8 @@ def find_leaks(docs, benchmark, block_bytes=1 << 20):
 
         part = rows.mapInArrow(run, "doc_id long, item_id long, region long, edits long, n_item_regions long")
         found = part if found is None else found.union(part)
-    once = found.groupBy("doc_id", "item_id", "region").agg(F.min("edits").alias("edits"), F.max("n_item_regions").alias("n_item_regions"))
+    once = found.groupBy("doc_id", "item_id", "region").agg(
+        F.min("edits").alias("edits"), F.max("n_item_regions").alias("n_item_regions"))
     return once.groupBy("doc_id", "item_id").agg(
         F.count("*").alias("n_regions"), F.max("n_item_regions").alias("n_item_regions"), F.min("edits").alias("edits"))
 

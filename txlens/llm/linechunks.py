@@ -96,9 +96,10 @@ def repeated_chunks(docs):
 def dedup_lines(docs):
     """``docs`` with repeated chunks taken out of ``text``; other columns and rows stay.
 
-    Adds ``n_lines`` and ``n_removed_lines`` (long), in place of columns with these names. A null text stays null (no lines). A text
-    that loses nothing is returned byte for byte. Rows that share doc_id and text are one
-    document and change alike. Rows with a null doc_id stay as they are.
+    Adds ``n_lines`` and ``n_removed_lines`` (long), in place of columns with these names. A null
+    text stays null (no lines). A text that loses nothing is returned byte for byte. Rows that
+    share doc_id and text are one document and change alike. Rows with a null doc_id stay as
+    they are.
     """
     gone = repeated_chunks(docs).withColumnRenamed("doc_id", "_id")
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),

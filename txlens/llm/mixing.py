@@ -1,8 +1,8 @@
 """Mixing sources to target weights: raking, then sampling by calibrated probabilities.
 
 Token counts are summed by cell (source, language, topic). Iterative proportional fitting
-scales the cells until their shares agree with the target shares of every dimension. Documents are then drawn with probabilities in proportion to their cell's
-weight per token.
+scales the cells until their shares agree with the target shares of every dimension. Documents
+are then drawn with probabilities in proportion to their cell's weight per token.
 """
 
 from pyspark.sql import functions as F
@@ -49,7 +49,8 @@ def count_cells(docs, topic=None):
 def _celled(docs, topic):
     """Rows with their cell and tokens; ``topic`` is a column of ``docs``, by form if None."""
     rows = docs.select(
-        F.struct("*").alias("row"), *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")],
+        F.struct("*").alias("row"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")],
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"), n_tokens().alias("n_tokens"),
         F.col("doc_id").alias("doc_id"), (F.lit(None) if topic is None else topic).cast("string").alias("topic"))
     if topic is None:
@@ -92,11 +93,12 @@ def chance(column, seed):
 def mix(docs, topic=None, targets=None, keep=0.5, power=0.7, rounds=10, tolerance=0.0, seed="mix"):
     """One row per document: doc_id, cell, n_tokens, probability, weight, sampled, row.
 
-    Needs doc_id, text, source and lang; ``topic`` is a column expression (by form if None); ``row`` is the input row as a struct. The expected tokens
-    are ``keep`` of all; a probability that would pass 1 is cut to 1 and ``weight`` (else 1) makes up for it, so that
-    weighted tokens meet the targets. A document is drawn or not by a hash of its doc_id: runs
-    agree, and repeated rows go together. The table of cells is written, so Spark knows its size
-    when it chooses the join; it has one row per cell.
+    Needs doc_id, text, source and lang; ``topic`` is a column expression (by form if None); ``row``
+    is the input row as a struct. The expected tokens are ``keep`` of all; a probability that would
+    pass 1 is cut to 1 and ``weight`` (else 1) makes up for it, so that weighted tokens meet the
+    targets. A document is drawn or not by a hash of its doc_id: runs agree, and repeated rows
+    go together. The table of cells is written, so Spark knows its size when it chooses the join;
+    it has one row per cell. Texts without words belong to a cell too, and weigh nothing.
     """
     cells = count_cells(docs, topic)
     targets = {k: stage(v) for k, v in (targets or tempered_targets(cells, power)).items()}

@@ -127,7 +127,7 @@ WITH d AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\
 units AS (SELECT doc_id, -1 AS line, replace(body, chr(10), ' ') AS unit FROM d WHERE contains(body, chr(10))
   UNION ALL SELECT doc_id, generate_subscripts(string_split(body, chr(10)), 1) - 1, unnest(string_split(body, chr(10))) FROM d),
 bigrams AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
-  FROM (SELECT doc_id, line, list_filter(string_split(unit, ' '), lambda x: x <> '') AS w FROM units) WHERE len(w) BETWEEN 2 AND 500),
+  FROM (SELECT doc_id, line, list_filter(string_split(unit, ' '), lambda x: x <> '') AS w FROM units) WHERE len(w) >= 2),
 templates(name, t) AS (VALUES {listed}),
 hits AS (SELECT DISTINCT doc_id, line, name,
     2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS dice
