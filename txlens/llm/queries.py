@@ -1,9 +1,10 @@
 """The queries of this subpackage, each over its whole table, and their SQL twins."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from txlens.llm import (decontam, factormachine, licenses, linechunks, mixing, quality, secretscan,
-                        simhash, substrings, toolcalls)
+from txlens.llm import (decontam, factormachine, licenses, linechunks, maxsketch, mixing, packing, quality, secretscan,
+                        simhash, substrings, toolcalls, turnrepair)
 from txlens.llm.twins import SQL  # noqa: F401
 
 
@@ -57,6 +58,20 @@ def op10_simhash(spark, folder):
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_lexical_search(spark, folder):
+    return maxsketch.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_sequence_packing(spark, folder, tokenizer=None):
+    tokenizer = tokenizer or public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, folder, "documents"), tokenizer)
+
+
+def op13_conversation_repair(spark, folder):
+    return turnrepair.repair_damaged(_table(spark, folder, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_secret_scan, op3_benchmark_decontamination, op4_quality_classifier, op5_line_dedup,
-    op6_quality_rules, op7_tool_calls, op8_substring_dedup, op9_license_scan, op10_simhash)}
+    op6_quality_rules, op7_tool_calls, op8_substring_dedup, op9_license_scan, op10_simhash,
+    op11_lexical_search, op12_sequence_packing, op13_conversation_repair)}

@@ -1,7 +1,7 @@
 """SQL twins of the queries, written apart from the operators they check.
 
-SimHash needs XXH64, which the SQL engine lacks; decontamination and the classifier have no
-SQL form. Those are tested against brute force and on held-out labels.
+SimHash needs XXH64, which the SQL engine lacks; decontamination, the classifier, packing and the
+repair of conversations have no SQL form. Those are tested against brute force and on held-out labels.
 """
 
 from txlens.llm import licenses, mixing, quality, secretscan
@@ -189,8 +189,27 @@ SELECT doc_id, source, lang, topic, n_tokens, least(wanted, 1.0) AS probability,
 FROM wanted"""
 
 
+def ranking_sql(places=10):
+    terms = ("unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term")
+    return f"""
+WITH held AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {terms} FROM documents) GROUP BY ALL),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {terms} FROM benchmark) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), corpus),
+parts AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)) AS part
+  FROM held JOIN sizes USING (doc_id), corpus),
+scores AS (SELECT item_id, doc_id, CAST(sum(times * w * part) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN parts USING (term) GROUP BY ALL),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {places}"""
+
+
 SQL = {
     "op1_source_mixing": mixing_sql(), "op2_secret_scan": secrets_sql(), "op5_line_dedup": line_sql(),
     "op6_quality_rules": quality_sql(), "op7_tool_calls": calls_sql(), "op8_substring_dedup": substring_sql(),
-    "op9_license_scan": licenses_sql(),
+    "op9_license_scan": licenses_sql(), "op11_lexical_search": ranking_sql(),
 }
