@@ -10,12 +10,12 @@ from catalog.frames import (LAYERS_SQL, cleaned, featured, flagged, mavg, msum,
 from txlens.functions import timeparts as tp
 from txlens.functions.money import percentage
 from txlens.functions.rules import revenue_category
-from txlens.operators import (anomalies, cleaning, correlation, customers, features, forest,
-                              joins, lookup, ordering, profile, quantiles, returned, sales)
+from txlens.operators import (anomalies, cleaning, correlation, customers, features, forest, joins, lookup, ordering,
+                              pages, profile, quantiles, returned, sales, sketches)
 from txlens.params import FOREST_FEATURES, FOREST_SAMPLE, FOREST_SEED, FOREST_TREES
 from txlens.plans import run, stages
 from txlens.schemas import NUMERIC_FEATURES, REPORT_COLUMNS, SAMPLE_COLUMNS, WAREHOUSE_COLUMNS
-from txlens.sources import files, warehouse
+from txlens.sources import bucketed, files, publishing, warehouse
 from txlens.sources.retail_tables import TABLE_LIMITS
 from txlens.staging import run_folder, stage
 
@@ -772,8 +772,8 @@ add("pinned_forest_scores", "E5",
 # The forest in SQL: samples by hash, trees by a recursive table of (tree, node) groups, whose
 # feature and threshold follow from md5(seed|tree|node|...).
 def _hash_sql(word, tree="tree", node="node"):
-    return (f"CAST('0x' || left(md5('{FOREST_SEED}|' || {tree} || '|' || {node} || '|{word}'), 13) "
-            "AS BIGINT)")
+    within = f" || '|' || {node}" if node else ""
+    return f"CAST('0x' || left(md5('{FOREST_SEED}|' || {tree}{within} || '|{word}'), 13) AS BIGINT)"
 
 
 _places = ["q", "u", "t"]
@@ -794,12 +794,17 @@ _samples_sql = f"""
 , pool AS MATERIALIZED (
   SELECT RowKey, Quantity, UnitPrice, TotalPrice, md5(RowKey || '|{FOREST_SEED}') AS h FROM timed
   ORDER BY h, RowKey LIMIT {FOREST_TREES * FOREST_SAMPLE}
+), numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY h, RowKey) - 1 AS place, count(*) OVER () AS n FROM pool
+), starts AS MATERIALIZED (
+  SELECT tree, n, {_hash_sql('start', node=None)} % n AS start, {_hash_sql('step', node=None)} % n AS step
+  FROM (SELECT CAST(i AS INTEGER) AS tree FROM range({FOREST_TREES}) r(i)), (SELECT DISTINCT n FROM numbered)
+), walks AS MATERIALIZED (
+  SELECT tree, n, start, (SELECT min(step + i) FROM range(1000) r(i) WHERE gcd(step + i, n) = 1) AS step FROM starts
 ), drawn AS MATERIALIZED (
-  SELECT tree, hash, Quantity, UnitPrice, TotalPrice FROM (
-    SELECT tree, md5(h || '|' || tree) AS hash, Quantity, UnitPrice, TotalPrice,
-           row_number() OVER (PARTITION BY tree ORDER BY md5(h || '|' || tree), RowKey) AS place
-    FROM pool CROSS JOIN (SELECT CAST(i AS INTEGER) AS tree FROM range({FOREST_TREES}) r(i)))
-  WHERE place <= {FOREST_SAMPLE}
+  SELECT tree, h AS hash, Quantity, UnitPrice, TotalPrice
+  FROM walks, range({FOREST_SAMPLE}) r(k), numbered
+  WHERE k < walks.n AND place = (start + k * step) % walks.n
 )"""
 _nodes_sql = f"""{_samples_sql}
 , levels AS MATERIALIZED (
@@ -943,11 +948,52 @@ for _name, _page, _shallow in (("transactions_page", 3, ordering.SHALLOW_ROWS),
             timed(s, d).select("RowKey", "TotalPrice"), ["RowKey"], n, shallow=m),
         f"""SELECT RowKey, TotalPrice FROM timed ORDER BY RowKey
             LIMIT 50 OFFSET {(_page - 1) * 50}""")
+
+
+def _kept_page(s, d, number):
+    """A page of a table that is kept in order: only the files that hold it are read."""
+    folder = new_folder(s)
+    pages.write_ordered(timed(s, d).select("RowKey", "TotalPrice"), ["RowKey"], folder, rows_per_file=20_000)
+    return pages.read_page(s, folder, number)
+
+
+def _kept_page_count(s, d):
+    folder = new_folder(s)
+    pages.write_ordered(timed(s, d).select("RowKey", "TotalPrice"), ["RowKey"], folder)
+    return pages.ordered_page_count(s, folder)
+
+
+add("kept_transactions_page", "I4 I5", lambda s, d: _kept_page(s, d, 60),
+    "SELECT RowKey, TotalPrice FROM timed ORDER BY RowKey LIMIT 50 OFFSET 2950")
+add("kept_page_count", "I5", _kept_page_count,
+    "SELECT count(*) AS Rows, CAST(greatest(1, (count(*) - 1) // 50 + 1) AS BIGINT) AS Pages FROM timed")
 add("page_count", "I5", lambda s, d: ordering.page_count(cleaned(s, d)),
     "SELECT count(*) AS Rows, CAST(greatest(1, (count(*) - 1) // 50 + 1) AS BIGINT) AS Pages FROM timed")
 add("ordered_preview", "I3",
     lambda s, d: ordering.preview(raw(s, d).select("RowKey", "Quantity"), 5, "RowKey"),
     "SELECT RowKey, Quantity FROM raw ORDER BY RowKey LIMIT 5")
+
+
+def _sketched_prices(s, d, by):
+    """Whether quartiles from merged sketches have a rank within half a percent of the wanted one."""
+    rows = stage(anomalies.with_status(flagged(s, d)).select("Month", "Status", "TotalPrice"))
+    kept = stage(sketches.quantile_sketches(rows, "TotalPrice", ["Month", "Status"]))
+    found = sketches.sketched_boxes(kept, by).withColumnRenamed("Rows", "Sketched")
+    ranked = rows.join(F.broadcast(found), list(by)).groupBy(*by).agg(
+        F.count("*").alias("Rows"), F.max("Sketched").alias("Sketched"), *[F.struct(
+            (F.count_if(F.col("TotalPrice") < F.col(q)) / F.count("*")).alias("below"),
+            (F.count_if(F.col("TotalPrice") <= F.col(q)) / F.count("*")).alias("upto")).alias(q)
+            for q in ("Q1", "Median", "Q3")])
+    return ranked.select(*by, "Rows", "Sketched", *[
+        ((F.col(f"{q}.below") <= p + 0.005) & (F.col(f"{q}.upto") >= p - 0.005)).alias(q)
+        for q, p in (("Q1", 0.25), ("Median", 0.5), ("Q3", 0.75))])
+
+
+for _name, _by in (("sketched_price_boxes", ("Status",)), ("sketched_month_boxes", ("Month",))):
+    add(_name, "F46 F47", lambda s, d, by=_by: _sketched_prices(s, d, by),
+        f"""SELECT {_by[0]}, count(*) AS Rows, count(*) AS Sketched, TRUE AS Q1, TRUE AS Median, TRUE AS Q3
+            FROM (SELECT *, CASE WHEN anomaly = 1 THEN 'Anomaly' ELSE 'Normal' END AS Status FROM flagged)
+            GROUP BY {_by[0]}""")
 add("total_price_quantiles", "E6 F46",
     lambda s, d: (lambda q: cleaned(s, d).agg(
         F.count("*").alias("Rows"), *[F.lit(v).alias(f"Q{i}") for i, v in enumerate(q)])
@@ -973,24 +1019,29 @@ add("raw_csv_round_trip", "A1 B2", _through_csv,
 
 
 def _through_odd_csv(s, d):
-    """Reordered columns, a further one and a quantity that is no number in a twentieth of the rows."""
+    """A folder of files with two headers: columns in another order, a further one, and a quantity that
+    is no number in a twentieth of the rows."""
     folder = new_folder(s)
-    bad = F.col("RowKey").endswith("7")
-    odd = raw(s, d).select(
-        F.col("Country").alias(" Country"), "CustomerID", "RowKey", "UnitPrice",
-        F.when(bad, "many").otherwise(F.col("Quantity").cast("string")).alias("Quantity "), "InvoiceDate",
-        "Description", "StockCode", "InvoiceNo")
-    files.export_csv(odd, folder)
-    rows = files.read_raw_csv(s, folder, corrupt="bad_line")
-    return stage(rows).groupBy("Country").agg(
+    rows = raw(s, d).withColumn("Quantity", F.when(F.col("RowKey").endswith("7"), "many").otherwise(
+        F.col("Quantity").cast("string")))
+    first = F.col("RowKey").substr(1, 1) == "1"
+    files.export_csv(rows.where(first).select(
+        F.col("Country").alias(" Country"), "CustomerID", "RowKey", "UnitPrice", F.col("Quantity").alias("Quantity "),
+        "InvoiceDate", "Description", "StockCode", "InvoiceNo"), f"{folder}/one")
+    files.export_csv(rows.where(~first).select(_raw_columns), f"{folder}/two", compression="gzip")
+    return files.read_raw_csv(s, [f"{folder}/one", f"{folder}/two"], corrupt="bad_line")
+
+
+add("reordered_csv", "A1",
+    lambda s, d: stage(_through_odd_csv(s, d)).groupBy("Country").agg(
         F.count("*").alias("Rows"), F.count("bad_line").alias("Unreadable"), F.count("Quantity").alias("Quantities"),
-        F.count_distinct("InvoiceNo").alias("Invoices"))
-
-
-add("reordered_csv", "A1", _through_odd_csv,
+        F.count_distinct("InvoiceNo").alias("Invoices")),
     """SELECT Country, count(*) AS Rows, count(*) FILTER (RowKey LIKE '%7') AS Unreadable,
               count(*) FILTER (RowKey NOT LIKE '%7') AS Quantities, count(DISTINCT InvoiceNo) AS Invoices
        FROM raw GROUP BY Country""")
+add("csv_of_two_headers", "A1", lambda s, d: _through_odd_csv(s, d).drop("bad_line"),
+    """SELECT InvoiceNo, StockCode, Description, CASE WHEN RowKey NOT LIKE '%7' THEN Quantity END AS Quantity,
+              strftime(InvoiceDate, '%-m/%-d/%Y %-H:%M') AS InvoiceDate, UnitPrice, CustomerID, Country FROM raw""")
 
 
 def _through_report(s, d):
@@ -1028,6 +1079,25 @@ add("layer_round_trip", "A3 A6 B1", _through_layer,
     "SELECT RowKey, Month, Quantity, Country FROM timed")
 
 
+def _published_twice(s, d):
+    """Two versions of a layer, a write that fails, and what was counted while writing."""
+    folder = new_folder(s)
+    files.write_layer(raw(s, d).select("RowKey", "Quantity"), folder)
+    sent = publishing.publish(timed(s, d).select("RowKey", "TotalPrice", "CustomerID"), folder, count=("CustomerID",))
+    try:
+        publishing.publish(raw(s, d).limit(0), folder, least=1)
+    except ValueError:
+        pass
+    stored = files.read_layer(s, folder)
+    return stored.agg(F.count("*").alias("Rows"), F.lit(sent.rows).cast("bigint").alias("Sent"),
+                      F.lit(sent.known["CustomerID"]).cast("bigint").alias("KnownCustomers"),
+                      F.lit(len(stored.columns)).alias("Columns"))
+
+
+add("published_layer", "B1 H8", _published_twice,
+    """SELECT count(*) AS Rows, count(*) AS Sent, count(CustomerID) AS KnownCustomers, 3 AS Columns FROM timed""")
+
+
 def _through_documents(s, d):
     folder = new_folder(s)
     rows = flagged(s, d).select("RowKey", "InvoiceNo", "TotalPrice", "Hour", "RevenueCategory",
@@ -1056,7 +1126,7 @@ def _through_warehouse(s, d):
     folder = new_folder(s)
     table = warehouse.conform_warehouse(timed(s, d), ["RowKey"])
     warehouse.write_warehouse(table, folder)
-    stored = s.read.parquet(folder)
+    stored = warehouse.read_warehouse(s, folder)
     return stored.groupBy("month").agg(
         F.count("*").alias("rows"), F.count_distinct("id").alias("ids"),
         F.count("created_at").alias("dated"), F.max("invoice_date").cast("date").alias("last"))
@@ -1079,40 +1149,68 @@ add("warehouse_doubled_rows", "B5",
         F.count("*").alias("Rows"), F.count_distinct("id").alias("Ids"), F.max("id").alias("Last")),
     "SELECT 2 * count(*) AS Rows, 2 * count(*) AS Ids, 2 * count(*) AS Last FROM timed")
 
+
+
+def _bucketed_lines(s, d):
+    """The cleaned lines with their times, in buckets of their customer."""
+    folder = new_folder(s)
+    return bucketed.write_bucketed(timed(s, d), f"lines_{folder.rsplit('-', 1)[1]}", folder, "CustomerID", 8)
+
+
+add("bucketed_customer_rfm", "B5 F20",
+    lambda s, d: _with_text(customers.customer_rfm(_bucketed_lines(s, d)), "LastPurchaseDate"),
+    CATALOG["customer_rfm"].sql.removeprefix(LAYERS_SQL))
+add("bucketed_customer_features", "B5 G2 G3 G4 G5",
+    lambda s, d: rounding(features.with_customer_features_in_place(_bucketed_lines(s, d)), 4, "CustomerPriceStd")
+    .select("RowKey", "CustomerID", "AvgCustomerSpend", "CustomerFrequency", "CustomerTotalQty", "CustomerPriceStd"),
+    f"""SELECT RowKey, CustomerID, AvgCustomerSpend, CAST(CustomerFrequency AS BIGINT) AS CustomerFrequency, CustomerTotalQty,
+               CASE WHEN CustomerFrequency > 1 THEN {rounded('CustomerPriceStd', 4)} END AS CustomerPriceStd
+        FROM timed JOIN customer_stats USING (CustomerID)""")
+
 # --- the flow --------------------------------------------------------------------------
 
 
 def _flow_counts(s, d):
-    """Rows of every layer, store and report of a run over the raw lines."""
+    """Rows of every layer, store, export and report of a run over the raw lines, and how many are flagged."""
     folder = new_folder(s)
-    run.run_all(raw(s, d), folder, TABLE_LIMITS, ("RowKey",), trees=10)
+    run.run_all(raw(s, d), folder, TABLE_LIMITS, ("RowKey",))
     sizes = []
     for name, kind in (
-            *[(f"layers/{x}", "parquet") for x in ("cleaned", "featured", "anomaly", "customer_segments", "customer_behavior")],
-            ("warehouse", "parquet"), ("exports/cleaned", "csv"),
+            *[(f"layers/{x}", "parquet") for x in (
+                "cleaned", "featured", "anomaly", "customer_segments", "customer_behavior", "joined", "anomaly_context")],
+            ("warehouse", "parquet"), ("documents", "json"), ("exports/cleaned", "csv"), ("exports/anomalies", "csv"),
             *[(f"reports/{x}", "csv") for x in (
-                "01_country_mapping", "02_sample_featured_data", "03_revenue_category_distribution",
-                "07_relational_sample", "10_integration_statistics", "featured_sample")]):
-        rows = s.read.option("header", True).format(kind).load(f"{folder}/{name}")
-        sizes.append(rows.agg(F.lit(name).alias("Name"), F.count("*").alias("Rows")))
-    flagged_rows = s.read.parquet(f"{folder}/layers/anomaly").where("anomaly = 1")
-    stored = s.read.json(f"{folder}/documents")
-    sizes.append(flagged_rows.agg(F.count("*").alias("n")).select(
-        F.lit("documents lacking").alias("Name"),
-        (F.col("n") - stored.agg(F.count("*")).scalar()).alias("Rows")))
+                "01_country_mapping", "02_sample_featured_data", "03_revenue_category_distribution", "04_top_products",
+                "05_top_customers", "07_relational_sample", "08_anomaly_sample", "09_anomaly_revenue_distribution",
+                "10_integration_statistics", "featured_sample")]):
+        rows = s.read.option("header", True).format(kind).load(publishing.current(s, f"{folder}/{name}"))
+        anomaly = F.count_if(F.col("anomaly") == 1) if "anomaly" in rows.columns else F.lit(None)
+        sizes.append(rows.agg(F.lit(name).alias("Name"), F.count("*").alias("Rows"), anomaly.cast("bigint").alias("Flagged")))
     result = sizes[0]
     for more in sizes[1:]:
         result = result.unionByName(more)
     return result
 
 
-add("flow_counts", "P4", _flow_counts, " UNION ALL ".join(
-    f"SELECT '{name}' AS Name, CAST({count} AS BIGINT) AS Rows FROM timed" for name, count in (
-        ("layers/cleaned", "count(*)"), ("layers/featured", "count(*)"), ("layers/anomaly", "count(*)"),
-        ("layers/customer_segments", "count(DISTINCT CustomerID)"),
-        ("layers/customer_behavior", "count(DISTINCT CustomerID)"), ("warehouse", "count(*)"),
-        ("exports/cleaned", "count(*)"), ("reports/01_country_mapping", "count(DISTINCT Country)"),
-        ("reports/02_sample_featured_data", "least(count(*), 20)"),
-        ("reports/03_revenue_category_distribution", "count(DISTINCT RevenueCategory)"),
-        ("reports/07_relational_sample", "least(count(*), 50)"), ("reports/10_integration_statistics", "max(1)"),
-        ("reports/featured_sample", "least(count(*), 100)"), ("documents lacking", "max(0)"))))
+_flow_sql = " UNION ALL ".join(
+    f"SELECT '{name}' AS Name, CAST({count} AS BIGINT) AS Rows, CAST({marked} AS BIGINT) AS Flagged FROM sizes"
+    for name, count, marked in (
+        ("layers/cleaned", "n", "NULL"), ("layers/featured", "n", "NULL"), ("layers/anomaly", "n", "f"),
+        ("layers/customer_segments", "customers", "NULL"), ("layers/customer_behavior", "customers", "NULL"),
+        ("layers/joined", "f", "f"), ("layers/anomaly_context", "f", "f"), ("warehouse", "n", "f"), ("documents", "f", "f"),
+        ("exports/cleaned", "n", "NULL"), ("exports/anomalies", "f", "f"), ("reports/01_country_mapping", "countries", "NULL"),
+        ("reports/02_sample_featured_data", "least(n, 20)", "NULL"),
+        ("reports/03_revenue_category_distribution", "categories", "NULL"), ("reports/04_top_products", "least(products, 10)", "NULL"),
+        ("reports/05_top_customers", "least(customers, 10)", "NULL"), ("reports/07_relational_sample", "least(n, 50)", "first50"),
+        ("reports/08_anomaly_sample", "least(f, 50)", "least(f, 50)"),
+        ("reports/09_anomaly_revenue_distribution", "f_categories", "NULL"), ("reports/10_integration_statistics", "1", "NULL"),
+        ("reports/featured_sample", "least(n, 100)", "NULL")))
+add("flow_counts", "P4", _flow_counts, f"""{_forest_lines_sql}
+, judged AS MATERIALIZED (
+  SELECT timed.*, CASE WHEN s.anomaly_score < 0 THEN 1 ELSE 0 END AS bad, row_number() OVER (ORDER BY RowKey) AS place
+  FROM timed JOIN (SELECT RowKey, anomaly_score FROM forest_lines) s USING (RowKey)
+), sizes AS MATERIALIZED (
+  SELECT count(*) AS n, sum(bad) AS f, count(DISTINCT CustomerID) AS customers, count(DISTINCT Country) AS countries,
+         count(DISTINCT RevenueCategory) AS categories, count(DISTINCT StockCode) AS products,
+         count(DISTINCT RevenueCategory) FILTER (bad = 1) AS f_categories, sum(bad) FILTER (place <= 50) AS first50 FROM judged
+) {_flow_sql}""")

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from txlens import staging
+from txlens.operators import customers, features
 from txlens.operators.anomalies import only_anomalies
-from txlens.plans.run import run_all
-from txlens.sources import files, warehouse
+from txlens.plans.run import run_all, write_layers
+from txlens.sources import bucketed, files, publishing, warehouse
 from txlens.sources.retail_tables import TABLE_LIMITS, retail_raw
 
 HEADER = "InvoiceNo,StockCode, Description ,Quantity,InvoiceDate,UnitPrice,CustomerID,Country \n"
@@ -69,6 +70,116 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
         files.read_raw_csv(spark, str(path))
 
 
+LINES = {"InvoiceNo": "536", "StockCode": "85", "Description": "HEART", "Quantity": "3", "InvoiceDate": "12/1/2010 8:26",
+         "UnitPrice": "2.5", "CustomerID": "1", "Country": "France"}
+
+
+def test_every_file_goes_by_its_own_header(spark, tmp_path):
+    names = list(LINES)
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for i in range(12):  # three headers, one of them with a further column, one file without rows, one empty
+        order = [names, names[::-1], ["Extra", *names[3:], *names[:3]]][i % 3]
+        lines = [",".join(f" {n}" if i == 1 else n for n in order)]
+        lines += [",".join({**LINES, "InvoiceNo": f"{i}-{k}", "Extra": "e"}[n] for n in order) for k in range(3 if i != 4 else 0)]
+        (folder / f"part {i}.csv").write_text("\n".join(lines) + "\n")
+    (folder / "empty.csv").write_text("")
+    with gzip.open(folder / "more.csv.gz", "wt") as out:
+        out.write(",".join(names[::-1]) + "\n" + ",".join({**LINES, "InvoiceNo": "gz"}[n] for n in names[::-1]) + "\n")
+    rows = files.read_raw_csv(spark, str(folder)).collect()
+    assert sorted(r["InvoiceNo"] for r in rows) == sorted([f"{i}-{k}" for i in range(12) if i != 4 for k in range(3)] + ["gz"])
+    assert {tuple(r)[1:] for r in rows} == {("85", "HEART", 3.0, "12/1/2010 8:26", 2.5, "1", "France")}
+    (folder / "lacking.csv").write_text("InvoiceNo,StockCode\n1,2\n")
+    with pytest.raises(ValueError, match="missing columns: Description.*lacking.csv"):
+        files.read_raw_csv(spark, str(folder))
+
+
+def failing(spark, rows):
+    return spark.range(rows).select(F.when(F.col("id") == rows - 1, F.raise_error("broken")).otherwise(F.col("id")).alias("id"))
+
+
+def test_a_failed_write_leaves_the_old_layer(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    files.write_layer(spark.range(5), path)
+    reader = files.read_layer(spark, path)
+    with pytest.raises(Exception, match="broken"):
+        files.write_layer(failing(spark, 1000), path)
+    assert files.read_layer(spark, path).count() == 5
+    sent = files.write_layer(spark.range(7), path)
+    assert sent.rows == 7 and files.read_layer(spark, path).count() == 7
+    assert reader.count() == 5  # a reader of the version before still finds it
+    files.write_layer(spark.range(8), path)
+    assert len(publishing._versions(spark, path)) == 2
+    with pytest.raises(ValueError, match="empty"):
+        publishing.publish(spark.range(0), path, least=1)
+    assert files.read_layer(spark, path).count() == 8
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    assert files.read_layer(spark, str(tmp_path / "plain")).count() == 3
+
+
+def test_a_run_goes_on_from_its_layers(spark, small, tmp_path):
+    raw = retail_raw(spark, small)
+    target = str(tmp_path / "out")
+    first = write_layers(raw, target, TABLE_LIMITS, ("RowKey",), run="one", trees=5)
+    broken = raw.withColumn("Quantity", F.raise_error("read again").cast("double"))
+    again = write_layers(broken, target, TABLE_LIMITS, ("RowKey",), run="one", trees=5)
+    assert again["anomaly"].count() == first["anomaly"].count()
+    with pytest.raises(Exception, match="read again"):
+        write_layers(broken, target, TABLE_LIMITS, ("RowKey",), run="two", trees=5)
+    assert files.read_layer(spark, f"{target}/layers/cleaned").count() == first["cleaned"].count()
+
+
+def counting(df, rows):
+    """``df``, and an accumulator of how often a row of it is made."""
+    seen = rows.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def test_rows_sent_are_counted_by_the_write(spark, tmp_path):
+    df, seen = counting(spark.range(500).select("id", (F.col("id") % 5 == 0).cast("int").alias("anomaly")), spark)
+    sent = files.write_documents(df, str(tmp_path / "documents"))
+    assert (sent.rows, seen.value) == (100, 500)
+    documents = files.read_documents(spark, str(tmp_path / "documents"), "id long, anomaly int")
+    assert files.require_stored(sent, documents, "documents") == 100 and seen.value == 500
+    with pytest.raises(ValueError, match="documents: sent 100, found 99"):
+        files.require_stored(sent, documents.limit(99), "documents")
+    sent = publishing.publish(df.withColumn("none", F.lit(None).cast("int")), str(tmp_path / "layer"), count=("id", "none"))
+    assert (sent.rows, sent.known, seen.value) == (500, {"id": 500, "none": 0}, 1000)
+
+
+def test_reports_in_json_are_bounded(spark, tmp_path):
+    with pytest.raises(ValueError, match="one JSON file"):
+        files.write_report(spark.range(5), str(tmp_path / "r"), kind="json", rows=4)
+
+
+def test_bucketed_layer_needs_no_shuffle(spark, tmp_path):
+    rows = spark.range(3000).select(
+        F.concat(F.lit("c"), F.col("id") % 97).alias("CustomerID"), F.col("id").cast("string").alias("InvoiceNo"),
+        (F.col("id") / 7).alias("TotalPrice"), F.lit(2.0).alias("Quantity"), F.timestamp_seconds("id").alias("InvoiceDate"))
+    table = bucketed.write_bucketed(rows, "lines_by_customer", str(tmp_path / "b"), "CustomerID", 4)
+    for frame in (customers.customer_behavior(table), features.customer_features(table), features.with_customer_features_in_place(table)):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(CustomerID" not in text and "Bucketed: true" in text
+    # customer_rfm also takes the newest date of all rows, which is one number per task
+    text = customers.customer_rfm(table)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(CustomerID" not in text and "Bucketed: true" in text
+    found = [sorted(tuple(r)[:4] for r in features.customer_features(frame).collect()) for frame in (table, rows)]
+    assert found[0] == found[1]
+    spark.sql("DROP TABLE lines_by_customer")
+    again = bucketed.open_bucketed(spark, "lines_by_customer", str(tmp_path / "b"), "CustomerID", 4)
+    assert again.count() == 3000 and "hashpartitioning" not in features.customer_features(again)._jdf.queryExecution().executedPlan().toString()
+    hot = rows.withColumn("CustomerID", F.when(F.col("Quantity") > 1, "one").otherwise("other"))
+    with pytest.raises(ValueError, match="100% of the rows"):
+        bucketed.write_bucketed(hot, "hot_lines", str(tmp_path / "h"), "CustomerID", 8)
+    assert bucketed.largest_share(rows.limit(0), "CustomerID") == 0
+
+
 def test_jdbc_settings():
     assert warehouse.jdbc_options("jdbc:x", "t", user="u", fetchsize=9) == {
         "url": "jdbc:x", "dbtable": "t", "user": "u", "fetchsize": "9"}
@@ -105,15 +216,15 @@ def test_whole_flow(spark, small, tmp_path):
     before = set(os.listdir(staging.staging_folder(spark)))
     layers = run_all(files.read_raw_csv(spark, source, 4), target, TABLE_LIMITS, trees=20)
     assert set(os.listdir(staging.staging_folder(spark))) == before
-    assert glob.glob(f"{target}/layers/featured/Month=*")
+    assert glob.glob(f"{target}/layers/featured/v*/Month=*")
     assert layers["cleaned"].count() == layers["anomaly"].count() == 3462
     assert len(layers["anomaly"].columns) == 24
     flagged = only_anomalies(layers["anomaly"]).count()
     assert abs(flagged - 0.02 * 3462) <= 3
-    assert spark.read.json(f"{target}/documents").count() == flagged
-    stored = spark.read.parquet(f"{target}/warehouse")
+    assert files.read_documents(spark, f"{target}/documents").count() == flagged
+    stored = warehouse.read_warehouse(spark, f"{target}/warehouse")
     assert stored.count() == 3462 and len(stored.columns) == 26
-    assert spark.read.parquet(f"{target}/layers/joined").count() == flagged
+    assert files.read_layer(spark, f"{target}/layers/joined").count() == flagged
     check = spark.read.json(f"{target}/reports/06_integration_verification").first()
     assert check["consistency_check"]["status"] == "VALID"
     assert check["consistency_check"]["missing_keys"] == 0
@@ -121,7 +232,7 @@ def test_whole_flow(spark, small, tmp_path):
     assert {f"{i:02d}" for i in range(11)} <= names
     top = spark.read.option("header", True).csv(f"{target}/reports/04_top_products")
     assert top.count() == 10
-    segments = spark.read.parquet(f"{target}/layers/customer_segments")
+    segments = files.read_layer(spark, f"{target}/layers/customer_segments")
     assert segments.groupBy("Segment").count().count() == 5
     assert spark.read.option("header", True).csv(f"{target}/exports/anomalies").count() == flagged
     assert stored.where(F.col("month").isNull()).count() == 0

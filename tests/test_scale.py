@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import frames
-from txlens.operators import correlation, features, forest, joins, lookup, ordering, profile, quantiles, sales
+from txlens.operators import (correlation, features, forest, joins, lookup, ordering, pages, profile, quantiles, reduction,
+                              sales, sketches)
 from txlens.operators.anomalies import flag_anomalies
 from txlens.staging import stage
 
@@ -47,13 +48,27 @@ def test_quantiles_between_two_heavy_values(spark, limit, accuracy):
     assert found == pytest.approx(list(np.quantile(df.toPandas()["v"], wanted)), abs=1e-9)
 
 
+def counting(df):
+    """``df``, and an accumulator of how often a row of it is made."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
 def test_box_and_correlation_read_their_source_once(spark, tmp_path):
     path = str(tmp_path / "rows")
     flag_anomalies(skewed(spark, 3000).withColumn("score", -F.col("TotalPrice"))).write.parquet(path)
     df = spark.read.parquet(path)
-    for frame in (correlation.correlation_matrix(df, ["TotalPrice", "Quantity", "anomaly", "anomaly_score"]),
-                  correlation.top_anomaly_correlations(df, ["TotalPrice", "Quantity", "anomaly_score"])):
-        assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    for build in (lambda f: correlation.correlation_matrix(f, ["TotalPrice", "Quantity", "anomaly", "anomaly_score"]),
+                  lambda f: correlation.top_anomaly_correlations(f, ["TotalPrice", "Quantity", "anomaly_score"])):
+        counted, seen = counting(df)
+        build(counted).collect()
+        assert seen.value == 3000
     box = profile.box_summary(df, "TotalPrice", limit=100)
     assert box._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     data = df.toPandas()
@@ -62,6 +77,107 @@ def test_box_and_correlation_read_their_source_once(spark, tmp_path):
         assert (row["Q1"], row["Median"], row["Q3"]) == pytest.approx(tuple(np.quantile(values, [0.25, 0.5, 0.75])))
 
 
+def test_correlations_with_nulls_and_large_means(spark):
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(4000, 5)) * [1, 1e3, 1e-3, 1, 0] + [1e7, 0, 5, 0, 0.1]
+    data[:, 1] += data[:, 0] - 1e7
+    rows = [[None if rng.random() < 0.2 and j in (1, 3) else float(v) for j, v in enumerate(row)] for row in data]
+    for row in rows:
+        if row[1] is not None:
+            row[3] = 4.25  # constant wherever the other one is known
+    names = list("abcde")
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(7)
+    plain = df.toPandas().corr()
+    for row in correlation.correlation_pairs(df, names).collect():
+        expected = plain.loc[row["Left"], row["Right"]]
+        if "e" in row[:2] or set(row[:2]) == {"b", "d"}:
+            assert row["Correlation"] is None
+        else:
+            assert row["Correlation"] == pytest.approx(expected, abs=1e-9)
+    # pairs with the target only
+    assert correlation._coefficients(df, names, ["c"]).count() == len(names)
+    empty = correlation.correlation_matrix(df.limit(0), names).collect()
+    assert len(empty) == 5 and all(v is None for row in empty for v in row[1:])
+
+
+def test_forest_walks_visit_places_once():
+    for rows in (1, 2, 7, 256, 25_600):
+        for tree in range(20):
+            start, step = forest._walk(42, tree, rows)
+            assert len({(start + k * step) % rows for k in range(min(rows, 300))}) == min(rows, 300)
+
+
+def test_forest_samples_are_linear_in_the_sample(spark):
+    """No frame of trees times the pool: the walks make one row for each sampled row."""
+    df = stage(skewed(spark, 3000).withColumn("UnitPrice", F.col("TotalPrice")))
+    drawn = forest.draw_samples(df, trees=10, sample=32)
+    assert drawn.groupBy("tree").count().select("count").distinct().collect()[0][0] == 32 and drawn.count() == 320
+    assert drawn.select("_hash").distinct().count() > 150
+    few = forest.draw_samples(df.limit(20), trees=3, sample=32)
+    assert [r["count"] for r in few.groupBy("tree").count().collect()] == [20] * 3
+    assert forest.draw_samples(df.limit(0), trees=3, sample=32).count() == 0
+
+
+def test_rows_are_dropped_before_the_join_shuffles(spark):
+    rows = stage(skewed(spark, 20_000))
+    flagged = stage(rows.where(F.substring("RowKey", 7, 2) == "13").select("RowKey", F.lit(1).alias("anomaly")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        possible = reduction.keep_possible(rows, flagged, "RowKey")
+        kept = possible.count()
+        joined = joins.join_anomalies(rows, flagged, "RowKey")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 200 and 200 <= kept < 3000
+        # the filter lies below the exchange of the large side
+        side = text[text.index("Sort "):]
+        assert side.index("hashpartitioning(RowKey") < side.index("getbit") < side.index("BroadcastExchange")
+        check = joins.consistency_check(rows, flagged.union(flagged.limit(3).withColumn("RowKey", F.lit("none"))), "RowKey").first()
+        assert check["MissingKeys"] == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # with too few bits the rows come back as they are; nothing is lost with one word either
+    assert reduction.keep_possible(rows, flagged, "RowKey", words=1).count() == 20_000
+    assert reduction.keep_possible(rows, flagged.limit(20), "RowKey", words=1).join(flagged.limit(20), "RowKey").count() == 20
+    nulls = stage(flagged.withColumn("RowKey", F.lit(None).cast("string")))
+    assert reduction.keep_possible(rows, nulls, "RowKey").count() == 0
+
+
+def test_a_kept_page_reads_its_own_files(spark, tmp_path):
+    df = stage(skewed(spark, 20_000).withColumn("tie", F.lit(1)))
+    path = str(tmp_path / "kept")
+    assert pages.write_ordered(df, ["TotalPrice", "RowKey"], path, rows_per_file=1500) == 20_000
+    expected = [r["RowKey"] for r in df.orderBy("TotalPrice", "RowKey").collect()]
+    for number in (1, 30, 31, 200, 400):
+        page = pages.read_page(spark, path, number)
+        assert len(page.inputFiles()) <= 2 and page.columns == df.columns
+        assert [r["RowKey"] for r in page.collect()] == expected[(number - 1) * 50:number * 50]
+    assert pages.read_page(spark, path, 401).count() == 0
+    assert tuple(pages.ordered_page_count(spark, path).first()) == (20_000, 400)
+    # equal keys: pages follow the order that was written, nothing twice and nothing left out
+    pages.write_ordered(df, ["tie"], path, rows_per_file=1500)
+    assert sorted(r["RowKey"] for n in range(1, 401) if n % 100 == 0 for r in pages.read_page(spark, path, n // 100, 5000).collect()) == sorted(expected)
+
+
+def test_sketches_merge_within_their_error(spark):
+    df = stage(skewed(spark, 60_000).withColumn("Month", F.col("RowKey").substr(8, 1)).withColumn(
+        "Status", F.when(F.col("RowKey").substr(7, 1) == "3", "Anomaly").otherwise("Normal")).withColumn(
+        "TotalPrice", F.when(F.col("Month") == "9", None).otherwise(F.col("TotalPrice"))))
+    kept = stage(sketches.quantile_sketches(df, "TotalPrice", ["Month", "Status"]))
+    assert kept.count() == 20
+    wanted = [0.01, 0.25, 0.5, 0.75, 0.99]
+    data = df.toPandas().dropna(subset=["TotalPrice"])
+    whole = sketches.sketched_quantiles(kept, wanted).first()
+    some = {r["Status"]: r for r in sketches.sketched_quantiles(kept.where("Month in ('1', '2')"), wanted, ["Status"]).collect()}
+    cases = [(whole, data)] + [(row, data[data["Month"].isin(["1", "2"]) & (data["Status"] == s)]) for s, row in some.items()]
+    for row, part in cases:
+        values = np.sort(part["TotalPrice"].to_numpy())
+        assert row["Rows"] == len(values)
+        for p, found in zip(wanted, row["Quantiles"]):
+            low, high = (np.searchsorted(values, found, side) / len(values) for side in ("left", "right"))
+            assert low <= p + 0.005 and high >= p - 0.005
+    assert sketches.sketched_quantiles(kept.limit(0), wanted).count() in (0, 1)
+
+
 def test_positions_take_one_shuffle(spark):
     df = stage(skewed(spark, 5000))
     spark.sparkContext.setJobGroup("positions", "positions")

@@ -56,6 +56,11 @@ def with_customer_features(df, source=None):
     return attach(df, customer_features(source or df), "CustomerID")
 
 
+def with_customer_features_in_place(df):
+    """The same for a layer in buckets of CustomerID: grouped and joined where the rows are."""
+    return df.join(customer_features(df), "CustomerID", "left")
+
+
 def with_dashboard_features(df):
     """The dashboard's variant: no frequency below 1, unknown customers get the mean."""
     overall = df.agg(money_avg("TotalPrice").alias("m")).first()["m"]

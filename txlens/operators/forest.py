@@ -8,7 +8,7 @@ scored where they are, in Arrow batches of the feature columns only, without a s
 
 import hashlib
 import sys
-from math import ceil, log2
+from math import ceil, gcd, log2
 
 import numpy as np
 import pandas as pd
@@ -32,28 +32,42 @@ def _row_hash(seed, *columns):
     return F.md5(F.concat_ws("|", *text, F.lit(str(seed))))
 
 
+def _number(*words):
+    """A whole number below 16**13 from the words' hash, and its share of that range."""
+    digits = hashlib.md5("|".join(map(str, words)).encode()).hexdigest()[:13]
+    return int(digits, 16), int(digits, 16) / 16.0**13
+
+
+def _walk(seed, tree, rows):
+    """Start and step of a tree's walk over ``rows`` places; the step shares no factor with them."""
+    start, step = (_number(seed, tree, word)[0] % rows for word in ("start", "step"))
+    while gcd(step, rows) != 1:
+        step += 1
+    return start, step
+
+
 def draw_samples(df, features=FOREST_FEATURES, key=("RowKey",), trees=FOREST_TREES,
                  sample=FOREST_SAMPLE, seed=FOREST_SEED):
     """(tree, _hash, features): ``sample`` rows for each tree, chosen by a hash of the row key.
 
-    The rows with the smallest hashes form a pool of trees × sample rows, and every tree takes
-    its own smallest hashes from it: one rule at all sizes, over a bounded pool.
+    The rows with the smallest hashes form a pool of trees × sample rows, numbered once in the
+    order of their hashes, which is a random order. Every tree walks over the pool with a start
+    and a step of its own: as the step shares no factor with the pool's size, no place comes
+    twice. So trees × sample rows are made, not a pool for every tree.
     """
     complete = df.dropna(subset=list(features))
     hashed = complete.select(*dict.fromkeys([*features, *key])).withColumn("_hash", _row_hash(seed, *key))
     pool = stage(smallest_by_hash(hashed, "_hash", trees * sample, *key))
-    each = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    each = each.withColumn("_hash", F.md5(F.concat_ws("|", "_hash", F.col("tree").cast("string"))))
-    place = F.row_number().over(Window.partitionBy("tree").orderBy("_hash", *key))
-    return each.withColumn("_place", place).where(F.col("_place") <= sample).select(
-        "tree", "_hash", *features
-    )
-
-
-def _number(*words):
-    """A whole number below 16**13 from the words' hash, and its share of that range."""
-    digits = hashlib.md5("|".join(map(str, words)).encode()).hexdigest()[:13]
-    return int(digits, 16), int(digits, 16) / 16.0**13
+    rows = pool.count()
+    # the pool is bounded, so one task may number it
+    numbered = pool.withColumn("_place", F.row_number().over(Window.orderBy("_hash", *key)) - 1)
+    walks = df.sparkSession.createDataFrame(
+        [(tree, *_walk(seed, tree, rows)) for tree in range(trees if rows else 0)],
+        "tree int, start long, step long")
+    visits = F.explode(F.sequence(F.lit(0), F.lit(min(sample, rows) - 1 if rows else 0)))
+    places = walks.select("tree", "start", "step", visits.alias("visit")).select(
+        "tree", ((F.col("start") + F.col("visit") * F.col("step")) % max(rows, 1)).cast("int").alias("_place"))
+    return places.join(numbered, "_place").select("tree", "_hash", *features)
 
 
 def _grow(values, seed, tree):

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from txlens.functions.money import percentage
 from txlens.operators.anomalies import only_anomalies, only_normal
 from txlens.operators.ordering import row_number_global, top_k
+from txlens.operators.reduction import keep_possible
+from txlens.staging import stage
 
 
 def positional_join(left, right, left_order, right_order):
@@ -18,9 +20,13 @@ def positional_join(left, right, left_order, right_order):
 
 
 def join_anomalies(transactions, anomalies, *key):
-    """Full context of the flagged rows, found by key: the transaction and what only the document has."""
+    """Full context of the flagged rows, found by key: the transaction and what only the document has.
+
+    Transactions without a flagged key are left out before the join shuffles them.
+    """
     more = [name for name in anomalies.columns if name not in transactions.columns]
-    return transactions.join(anomalies.select(*key, *more), list(key))
+    flagged = stage(anomalies.select(*key, *more))
+    return keep_possible(transactions, flagged, *key).join(flagged, list(key))
 
 
 def merge_country_counts(df, n=15):
@@ -47,7 +53,9 @@ def consistency_check(everything, subset, *key):
     shared = set(everything.columns) & set(subset.columns)
     total, stored = F.col("TotalRecords"), F.col("TotalDocuments")
     both = (total > 0) & (stored > 0)
-    missing = subset.select(*key).join(everything.select(*key), list(key), "left_anti")
+    stored_keys = stage(subset.select(*key))
+    possible = keep_possible(everything.select(*key), stored_keys, *key)
+    missing = stored_keys.join(possible, list(key), "left_anti")
     counts = everything.agg(F.count("*").alias("TotalRecords")).select(
         "TotalRecords",
         subset.agg(F.count("*")).scalar().alias("TotalDocuments"),

@@ -29,17 +29,22 @@ def preview(df, n, *key):
     return df.orderBy(*key).limit(n)
 
 
-def _ranged(df, order, rows_per_range):
-    """Staged rows in order, with ``_range`` and the place ``_at`` in it, from one shuffle.
+def ordered_ranges(df, order, rows_per_range=ROWS_PER_RANGE):
+    """Rows in order with a generated ``_id``, from one shuffle.
 
-    Every range is one task that sorts and numbers its rows: the upper bits of the generated id
-    are the range, the lower 33 the place.
+    Every range is one task that sorts and numbers its rows: the upper bits of the id are the
+    range, the lower 33 the place in it.
     """
     rows = df.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
     ranges = max(-(-rows // rows_per_range), min(cores, -(-rows // SHALLOW_ROWS)), 1)
     ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    placed = stage(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    return ordered.withColumn("_id", F.monotonically_increasing_id())
+
+
+def _ranged(df, order, rows_per_range):
+    """Staged rows in order, with ``_range`` and the place ``_at`` in it."""
+    placed = stage(ordered_ranges(df, order, rows_per_range))
     return placed.withColumns({
         "_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
 

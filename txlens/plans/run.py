@@ -15,46 +15,50 @@ from txlens.plans.stages import ROW_KEY, build_features, clean, detect
 from txlens.schemas import REPORT_COLUMNS, SAMPLE_COLUMNS
 from txlens.session import build_session
 from txlens.sources import files, warehouse
+from txlens.sources.publishing import finished
 from txlens.staging import staged_run
 
 
-def write_layers(raw, target, limits=DEFAULTS, key=ROW_KEY, **forest):
-    """Cleaned, featured and scored layers plus the two customer tables."""
+def write_layers(raw, target, limits=DEFAULTS, key=ROW_KEY, run=None, **forest):
+    """Cleaned, featured and scored layers plus the two customer tables.
+
+    Each layer is published as a whole. Layers that the named ``run`` has published already are
+    read, not made again.
+    """
     spark = raw.sparkSession
-    layer = f"{target}/layers"
-
-    def saved(df, name, partition_by=None):
-        files.write_layer(df, f"{layer}/{name}", partition_by)
-        return files.read_layer(spark, f"{layer}/{name}")
-
-    layers = {"cleaned": saved(clean(raw), "cleaned")}
-    layers["featured"] = saved(build_features(layers["cleaned"], limits, staged=True), "featured", "Month")
-    layers["anomaly"] = saved(detect(layers["featured"], limits, key, **forest), "anomaly", "Month")
-    for name, build in (("customer_segments", customers.customer_segments),
-                        ("customer_behavior", customers.customer_behavior)):
-        layers[name] = saved(build(layers["featured"], limits), name)
+    layers = {}
+
+    def saved(name, build, partition_by=None):
+        path = f"{target}/layers/{name}"
+        if not (run and finished(spark, path, run)):
+            files.write_layer(build(), path, partition_by, run)
+        layers[name] = files.read_layer(spark, path)
+
+    saved("cleaned", lambda: clean(raw))
+    saved("featured", lambda: build_features(layers["cleaned"], limits, staged=True), "Month")
+    saved("anomaly", lambda: detect(layers["featured"], limits, key, **forest), "Month")
+    saved("customer_segments", lambda: customers.customer_segments(layers["featured"], limits))
+    saved("customer_behavior", lambda: customers.customer_behavior(layers["featured"], limits))
     return layers
 
 
-def store(scored, target, key=ROW_KEY, jdbc=None):
-    """All rows to the relational table, flagged rows to the document collection."""
+def store(scored, target, key=ROW_KEY, jdbc=None, run=None):
+    """All rows to the relational table, flagged rows to the document collection.
+
+    The rows sent are counted by the writes themselves, and compared with the rows stored.
+    """
     spark = scored.sparkSession
     files.require_loadable(scored, "anomaly")
     table = warehouse.conform_warehouse(scored, key)
-    warehouse.write_warehouse(table, f"{target}/warehouse")
+    sent = warehouse.write_warehouse(table, f"{target}/warehouse", run)
+    files.require_stored(sent, warehouse.read_warehouse(spark, f"{target}/warehouse"), "warehouse")
     if jdbc:
         warehouse.write_jdbc(table, **jdbc)
-    files.write_documents(scored, f"{target}/documents")
-    documents = files.read_documents(spark, f"{target}/documents", scored.schema)
-    sent = {"warehouse": (scored, spark.read.parquet(f"{target}/warehouse")),
-            "documents": (anomalies.only_anomalies(scored), documents)}
-    if jdbc:
         access = {name: value for name, value in jdbc.items() if name != "batch"}
-        sent["jdbc"] = (scored, warehouse.read_jdbc(spark, **access))
-    for name, (rows, stored) in sent.items():
-        check = files.write_check(rows, stored).first()
-        if not check["Complete"]:
-            raise ValueError(f"{name}: sent {check['RowsSent']}, found {check['RowsStored']}")
+        files.require_stored(sent, warehouse.read_jdbc(spark, **access), "jdbc")
+    flagged = files.write_documents(scored, f"{target}/documents", run=run)
+    documents = files.read_documents(spark, f"{target}/documents", scored.schema)
+    files.require_stored(flagged, documents, "documents")
     return documents
 
 
@@ -88,19 +92,20 @@ def write_reports(raw, layers, documents, target, key=ROW_KEY):
 
 
 def run_all(raw, target, limits=DEFAULTS, key=ROW_KEY, jdbc=None, trees=FOREST_TREES,
-            sample=FOREST_SAMPLE, seed=FOREST_SEED):
+            sample=FOREST_SAMPLE, seed=FOREST_SEED, run=None):
     """Run every step on a raw frame. ``jdbc``: url, table, … of a relational store.
 
-    Tables staged on the way are removed at the end.
+    ``run`` names the run: started again under its name after a failure, it goes on from the
+    layers that it has published. Tables staged on the way are removed at the end.
     """
     with staged_run(raw.sparkSession):
         return _run_all(cleaning.strip_column_names(raw), target, limits, list(key), jdbc,
-                        trees, sample, seed)
+                        trees, sample, seed, run)
 
 
-def _run_all(raw, target, limits, key, jdbc, trees, sample, seed):
-    layers = write_layers(raw, target, limits, key, trees=trees, sample=sample, seed=seed)
-    documents = store(layers["anomaly"], target, key, jdbc)
+def _run_all(raw, target, limits, key, jdbc, trees, sample, seed, run):
+    layers = write_layers(raw, target, limits, key, run, trees=trees, sample=sample, seed=seed)
+    documents = store(layers["anomaly"], target, key, jdbc, run)
     order = ["InvoiceDate", *[name for name in key if name != "InvoiceDate"]]
     joined = joins.positional_join(layers["anomaly"], documents, order, order)
     files.write_layer(joined, f"{target}/layers/joined")
@@ -114,10 +119,11 @@ def main():
     parser = argparse.ArgumentParser(description="Run the retail flow on a CSV of invoice lines.")
     parser.add_argument("source", help="CSV path, plain or gzip")
     parser.add_argument("target", help="output folder")
+    parser.add_argument("--run", help="name of the run; the same name goes on after a failure")
     parser.add_argument("--partitions", type=int, help="spread a gzip source over this many tasks")
     options = parser.parse_args()
     spark = build_session("retail-flow")
-    run_all(files.read_raw_csv(spark, options.source, options.partitions), options.target)
+    run_all(files.read_raw_csv(spark, options.source, options.partitions), options.target, run=options.run)
 
 
 if __name__ == "__main__":

@@ -1,44 +1,87 @@
 """CSV, Parquet and JSON sources and sinks."""
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.sql import functions as F
 
 from txlens.operators.anomalies import only_anomalies
 from txlens.operators.cleaning import strip_column_names
 from txlens.schemas import LAYERS, RAW
+from txlens.sources.publishing import current, publish
 
-#: Rows that a single CSV file may hold, unless the caller says otherwise.
+#: Rows that a single file may hold, unless the caller says otherwise.
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def read_raw_csv(spark, path, partitions=None, corrupt=None):
-    """Invoice lines from CSV (plain or gzip), without a schema inference pass.
+def _first_lines(spark, path):
+    """(file, first line) of every file with a line, read by one short task per file.
 
-    Columns are found by their header names, blanks stripped, in any order; further columns are
-    left out and missing ones refused. All files of ``path`` share the first one's header.
-    Unreadable values become NULL; ``corrupt`` names a column that keeps the text of such rows
-    (see ``unreadable_rows``). A gzip file is read by one task, so its rows are spread over
-    ``partitions`` tasks, by default as many as there are cores.
+    A session of its own lets every file be one split, so that a task may stop after a line.
     """
-    kinds = dict(field.split() for field in RAW.split(", "))
-    header = spark.read.option("header", True).csv(path)
-    names = [name.strip() for name in header.columns]
-    lacking = [name for name in kinds if name not in names]
-    if lacking:
-        raise ValueError(f"missing columns: {', '.join(lacking)}")
-    broken = corrupt or "_corrupt_record"
+    probe = spark.newSession()
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        probe.conf.set(name, str(1 << 40))
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = probe.read.text(path)
+    found = lines.select(F.col("_metadata.file_path").alias("file"), "value").mapInArrow(first, "file string, value string")
+    return {row["file"]: row["value"] for row in found.collect()}
+
+
+def _header_groups(spark, path):
+    """{column names: files}; files without a line are left out."""
+    groups = {}
+    for file, line in sorted(_first_lines(spark, path).items()):
+        names = tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")])))
+        groups.setdefault(names, []).append(file)
+    return groups
+
+
+def _read_csv_files(spark, files, names, kinds, broken):
     schema = ", ".join([*[f"`{name}` {kinds.get(name, 'string')}" for name in names], f"`{broken}` string"])
-    rows = (
+    return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", broken)
-        .csv(path)
+        .csv(files)
     )
-    rows = rows.select(*kinds, *([broken] if corrupt else []))
-    files = header.inputFiles()
+
+
+def read_raw_csv(spark, path, partitions=None, corrupt=None):
+    """Invoice lines from CSV (plain or gzip), without a schema inference pass.
+
+    Columns are found by their header names, blanks stripped, in any order; further columns are
+    left out and missing ones refused. Every file of ``path`` goes by its own header: files of
+    one header are one read, and the reads are united by name. Unreadable values become NULL;
+    ``corrupt`` names a column that keeps the text of such rows (see ``unreadable_rows``). A
+    gzip file is read by one task, so its rows are spread over ``partitions`` tasks, by default
+    as many as there are cores.
+    """
+    kinds = dict(field.split() for field in RAW.split(", "))
+    broken = corrupt or "_corrupt_record"
+    groups = _header_groups(spark, path)
+    rows, read = None, []
+    for names, files in groups.items():
+        lacking = [name for name in kinds if name not in names]
+        if lacking:
+            raise ValueError(f"missing columns: {', '.join(lacking)} in {files[0]}")
+        files = [unquote(file) for file in files]
+        part = _read_csv_files(spark, files, names, kinds, broken).select(*kinds, *([broken] if corrupt else []))
+        rows = part if rows is None else rows.unionByName(part)
+        read += files
+    if rows is None:
+        raise ValueError(f"missing columns: {', '.join(kinds)}: no line in {path}")
     cores = spark.sparkContext.defaultParallelism
-    if partitions is None and len(files) < cores and any(f.endswith(".gz") for f in files):
+    if partitions is None and len(read) < cores and any(f.endswith(".gz") for f in read):
         partitions = cores
     return rows.repartition(partitions) if partitions else rows
 
@@ -58,32 +101,35 @@ def read_text_csv(spark, path, casts=None):
 
 
 def read_layer(spark, path, layer=None):
+    """The current version of a layer, or the plain table at ``path``."""
     reader = spark.read.schema(LAYERS[layer]) if layer else spark.read
-    return strip_column_names(reader.parquet(path))
+    return strip_column_names(reader.parquet(current(spark, path)))
+
 
+def write_layer(df, path, partition_by=None, run=None):
+    """Publish ``df`` as the layer at ``path``; returns what was sent (see ``publish``)."""
+    return publish(df, path, partition_by=partition_by, run=run)
 
-def write_layer(df, path, partition_by=None):
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+
+def _bounded(df, rows, kind):
+    if df.limit(rows + 1).count() > rows:
+        raise ValueError(f"more than {rows} rows do not belong in one {kind} file")
+    return df.coalesce(1)
 
 
 def export_csv(df, path, single_file=False, compression="none", single_file_rows=SINGLE_FILE_ROWS):
     """CSV with a header; one file is refused for more than ``single_file_rows`` rows."""
     if single_file:
-        if df.limit(single_file_rows + 1).count() > single_file_rows:
-            raise ValueError(f"more than {single_file_rows} rows do not belong in one CSV file")
-        df = df.coalesce(1)
+        df = _bounded(df, single_file_rows, "CSV")
     df.write.mode("overwrite").option("header", True).csv(path, compression=compression)
 
 
-def write_report(df, path, kind="csv"):
+def write_report(df, path, kind="csv", rows=SINGLE_FILE_ROWS):
     """A bounded report in one file."""
     if kind == "json":
-        df.coalesce(1).write.mode("overwrite").json(path)
+        _bounded(df, rows, "JSON").write.mode("overwrite").json(path)
     else:
-        export_csv(df, path, single_file=True)
+        export_csv(df, path, single_file=True, single_file_rows=rows)
 
 
 def require_loadable(df, *columns):
@@ -96,18 +142,20 @@ def require_loadable(df, *columns):
     return df
 
 
-def write_documents(df, path, records_per_file=0):
+def write_documents(df, path, records_per_file=0, run=None):
     """Replace the document collection by the flagged rows, one JSON object each.
 
     Files follow the tasks that write them; ``records_per_file`` (0: no limit) cuts them further.
+    The rows are scanned once; returns what was sent (see ``publish``).
     """
-    require_loadable(df, "anomaly")
-    flagged = require_loadable(only_anomalies(df))
-    flagged.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
+    lacking = [name for name in ("anomaly",) if name not in df.columns]
+    if lacking:
+        raise ValueError(f"missing columns: {', '.join(lacking)}")
+    return publish(only_anomalies(df), path, "json", run=run, least=1, maxRecordsPerFile=records_per_file)
 
 
 def read_documents(spark, path, schema=LAYERS["anomaly"]):
-    rows = spark.read.schema(schema).json(path)
+    rows = spark.read.schema(schema).json(current(spark, path))
     return rows.drop("_id")
 
 
@@ -117,3 +165,11 @@ def write_check(sent, stored):
         "RowsSent", stored.agg(F.count("*")).scalar().alias("RowsStored")
     )
     return counts.withColumn("Complete", F.col("RowsSent") == F.col("RowsStored"))
+
+
+def require_stored(sent, stored, name):
+    """Refuse a store that does not hold as many rows as were counted when they were sent."""
+    found = stored.count()
+    if found != sent.rows:
+        raise ValueError(f"{name}: sent {sent.rows}, found {found}")
+    return found

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from txlens.operators.ordering import row_number_global
 from txlens.schemas import WAREHOUSE_COLUMNS
+from txlens.sources.publishing import current, publish
 
 
 def conform_warehouse(df, key=None, created_at=True):
@@ -23,19 +24,19 @@ def conform_warehouse(df, key=None, created_at=True):
     return numbered.select(*columns)
 
 
-def write_warehouse(table, path):
+def write_warehouse(table, path, run=None):
     """One folder per month; inside a file rows lie by customer and date.
 
     Within a month rows are spread over tasks by their customer and id, so that neither
-    a busy month nor a busy customer is written by a single task.
+    a busy month nor a busy customer is written by a single task. Returns what was sent.
     """
-    (
-        table.repartitionByRange("month", "customer_id", "invoice_date", "id")
-        .sortWithinPartitions("month", "customer_id", "invoice_date")
-        .write.mode("overwrite")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    ordered = (table.repartitionByRange("month", "customer_id", "invoice_date", "id")
+               .sortWithinPartitions("month", "customer_id", "invoice_date"))
+    return publish(ordered, path, partition_by="month", run=run, count=("id", "anomaly") if "anomaly" in table.columns else ("id",))
+
+
+def read_warehouse(spark, path):
+    return spark.read.parquet(current(spark, path))
 
 
 def jdbc_options(url, table, driver=None, user=None, password=None, **more):
