@@ -2,7 +2,6 @@
 
 import random
 
-import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -59,26 +58,69 @@ def test_near_copies_by_brute_force(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(expected)
 
 
-def test_signatures_lose_no_pair():
-    rng = np.random.default_rng(2)
-    for _ in range(3000):
-        size = int(rng.choice([1, 2, 5, 9, 14, 20, 33, 64, 150, 500]))
-        x = rng.integers(0, 1 << 63, size, dtype=np.uint64)
-        drop = int(rng.integers(0, size // 5 + 1))
-        more = int(rng.integers(0, max((size - drop) * 5 // 4 - size, 0) + 1))
-        y = np.concatenate([x[drop:], rng.integers(0, 1 << 63, more, dtype=np.uint64)])
-        if 5 * (size - drop) >= 4 * (size + more):
-            (a, a_want), (b, b_want) = (nearcopies.signatures(np.unique(z)) for z in (x, y))
-            _, i, j = np.intersect1d(a, b, return_indices=True)
-            shared = {}
-            for want in np.maximum(a_want[i], b_want[j]).tolist():
-                shared.setdefault(want >> 32, []).append(want & 0xFFFFFFFF)
-            assert any(len(needs) >= max(needs) for needs in shared.values())
-
-
-def test_last_dealing_shares_empty_parts(monkeypatch):
-    monkeypatch.setattr(nearcopies, "LEVELS", 1)
-    test_signatures_lose_no_pair()
+def sets_of(spark, sets):
+    return spark.createDataFrame([(i, len(s), sorted(s)) for i, s in enumerate(sets)], "node long, size long, shingles array<long>")
+
+
+def near(x, y):
+    return 5 * len(x & y) >= 4 * len(x | y)
+
+
+def test_filters_lose_no_pair(spark):
+    """Random sets around common ones: near pairs share a rare shingle, and their differences agree."""
+    rng = random.Random(6)
+    sets = []
+    for size in (1, 2, 3, 5, 9, 20, 40, 90, 200):
+        base = [rng.getrandbits(62) for _ in range(size)]
+        for _ in range(30):
+            drop = rng.randint(0, max(size // 6, 1))
+            kept = set(rng.sample(base, max(size - drop, 1))) | {rng.getrandbits(62) for _ in range(rng.randint(0, max(size // 6, 1)))}
+            if rng.random() < 0.4 and sets:  # the same edits again, and some more
+                kept = set(rng.choice(sets)) - set(rng.sample(base, size // 10))
+            sets.append(kept or {1})
+    sets = [set(s) for s in dict.fromkeys(map(frozenset, sets))]
+    frame = nearcopies.stage(sets_of(spark, sets))
+    rare = nearcopies._under_rare_shingles(frame).collect()
+    under = {}
+    for r in rare:
+        under.setdefault(r["shingle"], set()).add(r["node"])
+    true = {(i, j) for j in range(len(sets)) for i in range(j) if near(sets[i], sets[j])}
+    assert len(true) > 100 and all(any({i, j} <= nodes for nodes in under.values()) for i, j in true)
+    # one leader for all sets: whatever is near is either near to it or among the agreeing pairs
+    for lead in (0, len(sets) // 2, len(sets) - 1):
+        led = spark.createDataFrame([(lead, i) for i in range(len(sets)) if i != lead], "lead long, node long")
+        deltas = nearcopies.stage(nearcopies._differences(frame, led).withColumn(
+            "far", 9 * F.size("delta") > F.col("words") + F.col("lead_size")))
+        close = {lead} | {r["node"] for r in deltas.where("not far").collect()}
+        assert close == {i for i, s in enumerate(sets) if near(s, sets[lead])}
+        pairs = nearcopies._agreeing(deltas)
+        agreeing = {(r["a"], r["b"]) for r in pairs.collect()}
+        wanted = {(i, j) for i, j in true if not {i, j} <= close and lead not in (i, j)}
+        assert wanted <= agreeing
+        assert {(r["a"], r["b"]) for r in nearcopies._near(frame, pairs).collect()} == agreeing & true
+
+
+def test_a_group_of_close_texts_is_not_compared_pair_by_pair(spark):
+    """Texts with edits of their own, each near to the base or not: hardly a pair passes the filters."""
+    base = [7 * i + 10**6 for i in range(160)]
+    rng = random.Random(9)
+    sets = [set(base)]
+    for _ in range(400):
+        lost = set(rng.sample(base, rng.randint(5, 24)))
+        sets.append((set(base) - lost) | {rng.getrandbits(62) for _ in lost})
+    frame = nearcopies.stage(sets_of(spark, sets))
+    led = spark.createDataFrame([(0, i) for i in range(1, 401)], "lead long, node long")
+    deltas = nearcopies.stage(nearcopies._differences(frame, led).withColumn(
+        "far", 9 * F.size("delta") > F.col("words") + F.col("lead_size")))
+    far = deltas.where("far").count()
+    assert far > 50 and nearcopies._agreeing(deltas).count() < far * 400 / 100
+
+
+def test_rows_of_one_doc_id_are_judged_by_their_own_texts(spark):
+    text, other = prose(1, 80), prose(2, 80)
+    docs = [(1, text, 1), (2, text, 2), (2, other, 3), (2, other, 3), (None, prose(3, 80), 4), (None, prose(4, 80), 5), (None, text, 6)]
+    kept = nearcopies.keep_first(spark.createDataFrame(docs, "doc_id long, text string, key long"))
+    assert sorted(r["key"] for r in kept.collect()) == [1, 3, 4, 5] and kept.columns == ["doc_id", "text", "key"]
 
 
 def test_groups_joined_by_pairs_that_miss_the_ends(spark):
@@ -100,6 +142,6 @@ def test_near_copies_of_odd_rows(spark):
 def test_pairs_that_fingerprints_missed(spark):
     docs = [(i, edited(random.Random(i), prose(500, 200), 2)) for i in range(6)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    assert simhash.keep_first(frame).count() > 1
+    assert simhash.near_duplicates(frame).select("component_id").distinct().count() > 1
     got = corpus_pipeline.near_dedup(spark, frame, None)
     assert {r.doc_id for r in got.collect()} == least_of_groups(docs) == {0}

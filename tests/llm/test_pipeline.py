@@ -75,8 +75,17 @@ def lines_by_hand(docs):
 
 
 def copies_by_hand(docs):
+    """One document of each group connected by pairs of Jaccard 0.8 or more over 5-word shingles."""
+    def shingles(text):
+        w = [x.lower() for x in (y.encode() for y in words_of(text))]
+        return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
     docs = sorted(docs, key=lambda d: (d[0] is None, d[0]))
-    return [d for i, (d, g) in enumerate(zip(docs, groups([fingerprint(d[1]) for d in docs]))) if g == i]
+    sets, root = [shingles(d[1]) for d in docs], list(range(len(docs)))
+    for i, x in enumerate(sets):
+        near = {root[i]} | {root[j] for j, y in enumerate(sets[:i]) if x == y or 5 * len(x & y) >= 4 * len(x | y)}
+        root = [min(near) if r in near else r for r in root]
+    return [d for i, d in enumerate(docs) if root[i] == i]
 
 
 def leaks_by_hand(docs, items):
