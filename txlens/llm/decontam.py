@@ -21,8 +21,8 @@ Q = 8
 REGION = 64
 #: A region may differ in one byte of so many.
 BYTES_PER_EDIT = 12
-#: Items shorter than this are no evidence of a leak.
-SHORTEST = 32
+#: Regions of an item begin at every so many bytes, so any stretch of REGION + STRIDE - 1 bytes holds one.
+STRIDE = 8
 SLOTS = 22
 #: Shared q-grams that are counted at once.
 PAIRS = 1 << 21
@@ -43,9 +43,9 @@ class Regions:
         self.texts, self.item, self.at = [], [], []
         for item_id, text in items:
             data = np.frombuffer(b" ".join(text.encode().lower().split()), np.uint8)
-            if len(data) < SHORTEST:
+            if len(data) < Q:
                 continue
-            starts = list(range(0, max(len(data) - REGION, 0) + 1, REGION // 2))
+            starts = list(range(0, max(len(data) - REGION, 0) + 1, STRIDE))
             if starts[-1] + REGION < len(data):
                 starts.append(len(data) - REGION)
             for start in starts:
@@ -55,7 +55,8 @@ class Regions:
         held = Counter(self.item)
         self.of_item = [held[i] for i in self.item]
         self.length = np.array([len(t) for t in self.texts], np.int64)
-        self.edits = self.length // BYTES_PER_EDIT
+        # a short item has fewer edits, so that one q-gram is always shared
+        self.edits = np.minimum(self.length // BYTES_PER_EDIT, self.length // Q - 1)
         self.bound = self.length + 1 - Q * (self.edits + 1)
         grams = [_grams(t) for t in self.texts]
         keys = np.concatenate([np.empty(0, U64), *grams])
@@ -168,7 +169,7 @@ def find_leaks(docs, benchmark, block_bytes=1 << 20):
     """``doc_id, item_id, n_regions, n_item_regions, edits`` for each document with part of an item.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; null texts are empty, items
-    under ``SHORTEST`` bytes are ignored, repeated rows count once. ``edits`` is the least
+    under ``Q`` bytes have no q-gram and are ignored, repeated rows count once. ``edits`` is the least
     number of edits of a region found. The benchmark is searched in blocks of about
     ``block_bytes``, each broadcast on its own, so that what is broadcast stays bounded however
     large it is; each block is one pass over the documents, in which nothing is shuffled but
