@@ -9,16 +9,17 @@ def _star(edges, both_ways):
     """Tie the neighbours of every node to the least of them (and the node, if smaller).
 
     ``edges`` holds ``node > low``. ``both_ways`` looks at all neighbours of a node and ties the
-    larger ones; otherwise at the smaller ones only.
+    larger ones; otherwise at the smaller ones only. ``edges`` is a written table and the least
+    ones are written before they are joined, so a node of many edges is split between tasks.
     """
     if both_ways:
         sides = edges.select(F.col("low").alias("node"), F.col("node").alias("near")).union(
             edges.select("node", F.col("low").alias("near")))
-        least = sides.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("least"))
+        least = stage(sides.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("least")))
         tied = (sides.where("near > node").join(least, "node")
                 .select(F.col("near").alias("node"), F.col("least").alias("low")))
     else:
-        least = edges.groupBy("node").agg(F.min("low").alias("least"))
+        least = stage(edges.groupBy("node").agg(F.min("low").alias("least")))
         tied = (edges.join(least, "node").where("low > least")
                 .select(F.col("low").alias("node"), F.col("least").alias("low"))
                 .union(least.select("node", F.col("least").alias("low"))))
@@ -37,7 +38,7 @@ def components(links, left, right):
                   .where("node > low").distinct())
     before = None
     while True:
-        edges = stage(_star(_star(edges, True), False))
+        edges = stage(_star(stage(_star(edges, True)), False))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "low").cast("decimal(38,0)"))).first()
         if now == before:
             break

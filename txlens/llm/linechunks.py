@@ -76,9 +76,10 @@ def repeated_chunks(docs):
             .select("doc_id", "chunk", F.md5("_text").alias("digest")))
     seen = stage(seen)
     place = F.struct("doc_id", "chunk")
-    firsts = (seen.where("doc_id is not null").groupBy("digest")
-              .agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-              .select("digest", F.col("first.doc_id").alias("first_id"), F.col("first.chunk").alias("first_chunk")))
+    # written, as is what is held, so that the join with a chunk of all documents can be split
+    firsts = stage(seen.where("doc_id is not null").groupBy("digest")
+                   .agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+                   .select("digest", F.col("first.doc_id").alias("first_id"), F.col("first.chunk").alias("first_chunk")))
     wanted = (seen.join(firsts, "digest")
               .select("doc_id", F.struct(
                   "chunk", "digest",
@@ -88,7 +89,7 @@ def repeated_chunks(docs):
     bodies = (cut.join(wanted, "doc_id").select("doc_id", "_lines", F.explode("wanted").alias("one"))
               .select("doc_id", "one.*", _body(F.col("one.chunk")).alias("bytes")))
     bodies = stage(bodies)
-    held = bodies.where("first").select("digest", F.col("bytes").alias("first_bytes")).distinct()
+    held = stage(bodies.where("first").select("digest", F.col("bytes").alias("first_bytes")).distinct())
     return (bodies.where("not first").join(held, "digest").where("bytes = first_bytes")
             .groupBy("doc_id").agg(F.collect_set("chunk").alias("gone")))
 

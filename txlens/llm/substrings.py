@@ -169,9 +169,10 @@ def remove_repeated_windows(docs, length=50):
     windows = stage(runs.select("doc_id", "anchor", "run", "place", "hashes")
                     .join(firsts, ["anchor", "run", "doc_id"], "left_semi")
                     .select("doc_id", "anchor", "place", F.posexplode("hashes").alias("step", "hash")))
-    earliest = (windows.groupBy("anchor", "hash")
-                .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-                .where("low < high").select("anchor", "hash", "low"))
+    # written, so that the join with a window of all documents can be split
+    earliest = stage(windows.groupBy("anchor", "hash")
+                     .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+                     .where("low < high").select("anchor", "hash", "low"))
     single = (windows.join(earliest, ["anchor", "hash"]).where("low < doc_id")
               .select("doc_id", (F.col("place") + F.col("step")).alias("place"), F.lit(1).alias("size")))
     late = whole.union(single).groupBy("doc_id").agg(F.collect_list(F.struct("place", "size")).alias("late"))
