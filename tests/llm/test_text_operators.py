@@ -160,9 +160,6 @@ def test_simhash_of_odd_rows(odd, nothing):
         by.setdefault(doc_id, set()).add((bits, component))
     assert by[3] == by[4] == by[5] == {("0" * 16, 3)}
     assert {c for _, c in by[2] | by[None]} == {1} and by[12] == {(f"{fingerprint(ODD[-1][1]):016x}", 12)}
-    kept = simhash.keep_first(odd)
-    assert kept.columns == odd.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 7, 8, 9, 10, 12]
     assert rows(simhash.near_duplicates(nothing)) == []
 
 
@@ -188,7 +185,7 @@ def edit_distance_inside(pattern, text):
 
 def test_decontamination_by_brute_force(spark):
     rng = random.Random(3)
-    items = [(i, prose(500 + i, rng.randint(8, 40))) for i in range(6)] + [(90, "short"), (91, None), (0, prose(500, 1))]
+    items = [(i, prose(500 + i, rng.randint(8, 40))) for i in range(6)] + [(90, "short"), (91, None), (92, "eightltr"), (93, "a dozen and a half")]
     docs = []
     for i in range(24):
         text = items[i % 6][1]
@@ -196,19 +193,29 @@ def test_decontamination_by_brute_force(spark):
             at = rng.randrange(len(text))
             text = text[:at] + rng.choice(["", "x", "yz"]) + text[at + rng.randint(0, 1):]
         docs.append((i, prose(900 + i, 20) + "\n" + text.upper() + " " + prose(950 + i, 20)))
-    docs += [(50, None), (51, ""), (52, items[0][1][:70]), (53, items[0][1][:20]), (54, "a" * 300), (50, None)]
-    regions = decontam.Regions([(i, t or "") for i, t in items])
-    expected = set()
+    docs += [(50, None), (51, ""), (52, items[0][1][:70]), (53, items[0][1][:20]), (54, "a" * 300), (50, None),
+             (55, "Some EIGHTLTR here"), (56, "some eightlt r"), (57, "not a dozen  andx a half."), (58, "a dozen xxx a half"),
+             *[(60 + k, "z " + items[2][1][k:k + 71] + " z") for k in range(0, 24, 5)]]  # a stretch that is sure to be found
+    cut = {}
+    for item_id, text in items:
+        body = " ".join((text or "").lower().split()).encode()
+        starts = sorted({*range(0, max(len(body) - 63, 1), 8), max(len(body) - 64, 0)}) if len(body) >= 8 else []
+        cut[item_id] = [body[a:a + 64] for a in starts]
+    expected = {}
     for doc_id, text in docs:
         body = " ".join(words_of(text)).lower().encode()
-        for k, region in enumerate(regions.texts):
-            if edit_distance_inside(region.tobytes(), body) <= regions.edits[k]:
-                expected.add((doc_id, regions.item[k]))
+        for item_id, parts in cut.items():
+            edits = [edit_distance_inside(part, body) for part in parts]
+            near = [e for e, part in zip(edits, parts) if e <= min(len(part) // 12, len(part) // 8 - 1)]
+            if near:
+                expected[doc_id, item_id] = (len(near), len(parts), min(near))
+    assert {(55, 92), (57, 93)} <= set(expected) and not {(56, 92), (58, 93)} & set(expected)
+    assert {(60 + k, 2) for k in range(0, 24, 5)} <= set(expected)
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("region", F.lit("x"))
     bench = spark.createDataFrame(items, "item_id long, text string")
     for block_bytes in (1 << 20, 200):
         found = rows(decontam.find_leaks(frame, bench, block_bytes=block_bytes))
-        assert {r[:2] for r in found} == expected and len(found) == len(expected)
+        assert {r[:2]: r[2:] for r in found} == expected and len(found) == len(expected)
     clean = decontam.clean_documents(frame, bench)
     assert clean.columns == frame.columns
     assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _ in docs if d not in {e[0] for e in expected})
@@ -379,17 +386,29 @@ def test_tool_calls(spark):
         (2, 1, "a", "reply", good, ["c", "zz", None]), (2, 4, "c", "reply", '{"words":1}', []), (2, 6, "d", "nope", good, ["a"]),
         (3, 1, "x", "reply", good, ["y"]), (3, 2, "y", "reply", good, ["x"]), (3, 3, "z", "reply", "{bad", ["y"]), (3, 4, "w", "reply", "[1]", []),
         (4, 1, "r", "reply", good, []), (4, 2, "r", "reply", good, []), (None, None, None, None, None, None),
+        (4, 2, "r", "reply", good, []), (4, 1, "r", "nope", good, []), (5, 1, None, "reply", good, []), (5, 1, None, "reply", good, []),
+        (5, 2, None, "reply", "{}", []),
     ], "conv_id long, turn long, call_id string, name string, arguments string, after array<string>")
-    results = spark.createDataFrame([(1, 6, "a", "out"), (4, 9, "r", "late"), (4, 3, "r", None), (9, 1, "q", "orphan"), (2, 5, "c", "o")],
-                                    "conv_id long, turn long, call_id string, output string")
-    got = {(r.conv_id, r.call_id): r for r in toolcalls.link_calls(calls, results).collect()}
+    results = spark.createDataFrame([(1, 6, "a", "out"), (4, 9, "r", "late"), (4, 3, "r", None), (9, 1, "q", "orphan"), (2, 5, "c", "o"),
+                                     (4, 9, "r", "late"), (5, 3, None, "lost"), (5, 3, None, "lost")],
+                                    "conv_id long, turn long, call_id string, output string").withColumn("status", F.lit("x"))
+    every = toolcalls.link_calls(calls.withColumn("n_calls", F.lit(7)), results).collect()
+    # each call and each result is in a record: repeated ones, and those without an identifier
+    again = sorted((r.turn, r.status, r.n_calls, r.n_results, r.step) for r in every if r.call_id == "r")
+    assert again == [(1, "ok", 4, 3, 1), (1, "unknown tool", 4, 3, 1), (2, "ok", 4, 3, 1), (9, "further result", 0, 3, None)]
+    lone = sorted((r.turn, r.status) for r in every if r.conv_id == 5)
+    assert lone == [(1, "no result"), (1, "no result"), (2, "message is missing"), (3, "no call"), (3, "no call")]
+    first = {}
+    for r in sorted(every, key=lambda r: (r.status == "further result", r.status != "ok", r.turn or 0)):
+        first.setdefault((r.conv_id, r.call_id), r)
+    got = {k: r for k, r in first.items() if k[0] != 5}
     assert got[1, "a"].record == '{"after":["b"],"arguments":{"message":"é \\"x\\"","style":"a","words":2},"id":"a","name":"reply","output":"out"}'
     status = {k: r.status for k, r in got.items()}
     assert status == {(1, "a"): "ok", (1, "b"): "words is not BIGINT", (2, "a"): "no result", (2, "c"): "message is missing",
                       (2, "d"): "unknown tool", (3, "x"): "cycle", (3, "y"): "cycle", (3, "z"): "cycle",
                       (3, "w"): "arguments are not an object", (4, "r"): "ok", (9, "q"): "no call", (None, None): "unknown tool"}
     assert got[1, "a"].step > got[1, "b"].step and got[2, "d"].step > got[2, "a"].step > got[2, "c"].step
-    assert (got[4, "r"].n_calls, got[4, "r"].n_results, got[9, "q"].step) == (2, 2, None)
+    assert (got[4, "r"].n_calls, got[4, "r"].n_results, got[9, "q"].step) == (4, 3, None)
     assert rows(toolcalls.link_calls(calls.limit(0), results.limit(0))) == []
 
 

@@ -105,7 +105,7 @@ def _number(kind):
 
 
 def secrets(docs, ledger=None, rules=RULES):
-    """One row per input row: doc_id, blob, counts, base_sha256 and spans (``kind:start:end``).
+    """One row per input row: doc_id, counts, base_sha256, spans (``kind:start:end``) and blob.
 
     Spans are code points, the end exclusive, ordered by start and then by the order of the
     rules. Texts without findings have an empty string and its digest.
@@ -120,7 +120,6 @@ def secrets(docs, ledger=None, rules=RULES):
     every = F.coalesce("spans", F.array().cast(SPAN))
     joined = versions.join(found, "blob", "left").withColumn("spans", every)
     return joined.select(
-        "doc_id", F.lower(F.hex("blob")).alias("blob"),
-        *[_number(r.kind).alias(f"n_{r.kind}") for r in BASE_RULES],
+        "doc_id", *[_number(r.kind).alias(f"n_{r.kind}") for r in BASE_RULES],
         F.sha2(_digest(F.filter("spans", lambda s: s["rank"] < base)), 256).alias("base_sha256"),
-        _digest(F.col("spans")).alias("spans"))
+        _digest(F.col("spans")).alias("spans"), F.lower(F.hex("blob")).alias("blob"))

@@ -108,15 +108,3 @@ def near_duplicates(docs, distance=3, shingle=3, seed=42):
     named = rooted.join(least, "root").select("bits", "component_id")
     return rows.join(named, "bits").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(docs, **options):
-    """The rows of ``docs`` whose doc_id is the least of their group; other columns stay.
-
-    Repeated rows of one doc_id leave one row. Of groups in which every doc_id is null, one row
-    stays for each doc_id, that is one.
-    """
-    found = near_duplicates(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = found.select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["_first"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])

@@ -50,24 +50,54 @@ def _levels(calls, edges):
         level += 1
 
 
+def _others(all_calls, calls, all_results, results, stepped, schema):
+    """Calls and results beside the first of their identifier, and those without an identifier."""
+    key = ["conv_id", "call_id"]
+    nameless = F.col("conv_id").isNull() | F.col("call_id").isNull()
+    none, zero = F.lit(None), F.lit(0).cast("long")
+    first = stepped.select(*key, F.struct("turn", "name", "arguments", "after").alias("_first"), "step", "n_calls")
+    again = stage(calls.where("n_calls > 1").select(*key))
+    calls_again = (all_calls.join(again, key).join(first, key).where(~F.col("c").eqNullSafe(F.col("_first")))
+                   .groupBy(*key, "c", "step", "n_calls").agg(F.count("*").alias("_equal")).join(results, key, "left")
+                   .select(*key, "c.*", "step", "n_calls", F.col("r.output").alias("output"), F.coalesce("n_results", zero).alias("n_results"),
+                           F.lit(False).alias("further")))
+    nameless_calls = all_calls.where(nameless).select(
+        *key, "c.*", F.col("c.turn").cast("long").alias("step"), F.lit(1).cast("long").alias("n_calls"),
+        none.cast("string").alias("output"), zero.alias("n_results"), F.lit(False).alias("further"))
+    more = stage(results.where("n_results > 1").select(*key, F.col("r").alias("_first"), "n_results"))
+    results_again = (all_results.join(more, key).where(~F.col("r").eqNullSafe(F.col("_first")))
+                     .groupBy(*key, "r", "n_results").agg(F.count("*").alias("_equal"))
+                     .select(*key, "r", "n_results", F.lit(True).alias("further")))
+    nameless_results = all_results.where(nameless).select(*key, "r", F.lit(1).cast("long").alias("n_results"), F.lit(False).alias("further"))
+    later = results_again.unionByName(nameless_results).select(
+        *key, F.col("r.result_turn").alias("turn"), none.cast("string").alias("name"), none.cast("string").alias("arguments"),
+        none.cast("array<string>").alias("after"), none.cast("long").alias("step"), zero.alias("n_calls"),
+        F.col("r.output").alias("output"), "n_results", "further")
+    return calls_again.unionByName(nameless_calls).unionByName(later).select(
+        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema])
+
+
 def link_calls(calls, results, schemas=None):
-    """One row per call identifier of a conversation, and one per result without a call.
+    """One row per call of a conversation, one per result without a call, one per further result.
 
     ``calls``: conv_id, turn, call_id, name, arguments (JSON text), after (array of call_ids).
     ``results``: conv_id, turn, call_id, output. Returns conv_id, call_id, turn, step, status,
     n_calls, n_results, record. ``step`` is larger than that of every call it comes after, null on or
     behind a cycle. ``status`` is ok, no result, no call, cycle, or the fault of the arguments.
-    ``record`` is canonical JSON: keys sorted, no spaces, nulls written. Repeated identifiers: the earliest turn
-    counts (then the smaller content) and the numbers tell; null identifiers or conversations are
-    kept as rows of their own identifier null. Dependencies on unknown or null calls are ignored.
+    ``record`` is canonical JSON: keys sorted, no spaces, nulls written. Of calls with one identifier the
+    earliest (then that of the smaller content) gives the step; the others are validated and written as
+    rows of their own, with the same step, result and ``n_calls``; equal ones are one row. Of several results the earliest is
+    linked; others are rows of status "further result". Calls and results with a null identifier or
+    conversation are never linked and stay a row each. Dependencies on unknown or null calls are ignored.
     """
     schemas = SCHEMAS if schemas is None else schemas
     key = ["conv_id", "call_id"]
-    calls = stage(calls.select(*key, "turn", "name", "arguments", "after").groupBy(*key).agg(
-        F.min(F.struct("turn", "name", "arguments", "after")).alias("c"), F.count("*").alias("n_calls"))
-        .select(*key, "c.*", "n_calls"))
-    results = results.select(*key, F.col("turn").alias("result_turn"), "output").groupBy(*key).agg(
-        F.min(F.struct("result_turn", "output")).alias("r"), F.count("*").alias("n_results"))
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    all_calls = calls.select(*key, F.struct("turn", "name", "arguments", "after").alias("c"))
+    all_results = results.select(*key, F.struct(F.col("turn").alias("result_turn"), "output").alias("r"))
+    calls = stage(all_calls.where(named).groupBy(*key).agg(F.min("c").alias("c"), F.count("*").alias("n_calls"))
+                  .select(*key, "c.*", "n_calls"))
+    results = stage(all_results.where(named).groupBy(*key).agg(F.min("r").alias("r"), F.count("*").alias("n_results")))
     edges = (calls.select("conv_id", F.col("call_id").alias("later"), F.col("turn").alias("late"),
                           F.explode("after").alias("earlier"))
              .join(calls.select("conv_id", F.col("call_id").alias("earlier"), F.col("turn").alias("early")),
@@ -80,16 +110,14 @@ def link_calls(calls, results, schemas=None):
         fine = calls.join(backward, calls["conv_id"].eqNullSafe(backward["conv_id"]), "left_anti")
         odd = odd.withColumn("step", F.lit(None).cast("long")) if levels is None else odd.join(levels, key, "left")
         stepped = fine.withColumn("step", F.col("turn").cast("long")).unionByName(odd)
-    a, b = stepped.alias("a"), results.alias("b")
-    same = F.col("a.conv_id").eqNullSafe(F.col("b.conv_id")) & F.col("a.call_id").eqNullSafe(F.col("b.call_id"))
-    linked = a.join(b, same, "full").select(
-        *[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in key],
-        F.coalesce("a.turn", "b.r.result_turn").cast("long").alias("turn"), "step", "name", "arguments", "after",
-        F.col("b.r.output").alias("output"), F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"),
-        F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"))
+    linked = stepped.join(results, key, "full").select(
+        *key, F.coalesce("turn", "r.result_turn").cast("long").alias("turn"), "step", "name", "arguments", "after",
+        F.col("r.output").alias("output"), F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"),
+        F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"), F.lit(False).alias("further"))
+    linked = linked.unionByName(_others(all_calls, calls, all_results, results, stepped, linked.schema))
     linked = linked.withColumn("parsed", F.try_parse_json("arguments"))
     status = F.coalesce(
-        F.when(F.col("n_calls") == 0, "no call"), F.when(F.col("step").isNull() & F.col("turn").isNotNull(), "cycle"),
+        F.when(F.col("further"), "further result"), F.when(F.col("n_calls") == 0, "no call"), F.when(F.col("step").isNull() & F.col("turn").isNotNull(), "cycle"),
         _problem(schemas), F.when(F.col("n_results") == 0, "no result"), F.lit("ok"))
     record = F.to_json(F.struct(
         F.array_sort("after").alias("after"), F.col("parsed").alias("arguments"), F.col("call_id").alias("id"),
