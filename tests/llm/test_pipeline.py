@@ -10,7 +10,7 @@ import corpus_pipeline
 from tests.llm.test_text_operators import (edit_distance_inside, fingerprint, groups, prose, statistics_by_hand,
                                            words_of)
 from txlens.llm import decontam
-from txlens.llm.linechunks import FACTOR, LEAST_CHARS, PRIME
+from txlens.llm.linechunks import FACTOR, PRIME
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -47,29 +47,52 @@ def folder(spark, tmp_path_factory):
 
 
 def chunks_by_hand(text):
+    """First line and line after the last of each chunk."""
     lines = text.split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:15], 16) % PRIME for x in lines]
     r = [((h[i - 1] if i else 0) * FACTOR + h[i]) % PRIME for i in range(len(h))]
-    starts = [i for i in range(len(r)) if i == 0 or (r[i] < r[i - 1] and (i + 1 == len(r) or r[i] < r[i + 1]))]
-    return [lines[a:b] for a, b in zip(starts, starts[1:] + [len(lines)])]
+    starts = [0]
+    for i in range(1, len(h)):
+        like_last, like_next = h[i] == h[i - 1], i + 1 < len(h) and h[i] == h[i + 1]
+        lowest = r[i] < r[i - 1] and (i + 1 == len(r) or r[i] < r[i + 1])
+        run_before = i > 1 and h[i - 1] == h[i - 2]
+        if (like_next and i % 2 == 0) if like_last else (lowest or like_next or run_before):
+            starts.append(i)
+    return list(zip(starts, starts[1:] + [len(lines)]))
 
 
 def lines_by_hand(docs):
-    cut = [(d, chunks_by_hand(d[1]) if d[1] is not None else None) for d in docs]
+    cut = {k: (d[1].split("\n"), chunks_by_hand(d[1])) for k, d in enumerate(docs) if d[1] is not None and d[0] is not None}
     first = {}
-    for d, parts in cut:
-        for k, part in enumerate(parts or []):
-            if d[0] is not None:
-                first[tuple(part)] = min(first.get(tuple(part), (d[0], k)), (d[0], k))
+    for k in sorted(cut, key=lambda k: docs[k][0]):
+        lines, chunks = cut[k]
+        for c, (a, b) in enumerate(chunks):
+            if b - a > 1 and words_of("\n".join(lines[a:b])):
+                first.setdefault(tuple(lines[a:b]), (k, c))
     out = []
-    for d, parts in cut:
-        if d[0] is None or parts is None:
+    for k, d in enumerate(docs):
+        if k not in cut:
             out.append(d)
             continue
-        kept = [p for k, p in enumerate(parts) if len(p) < 2 or len("\n".join(p)) < LEAST_CHARS
-                or not words_of("\n".join(p)) or first[tuple(p)] == (d[0], k)]
-        text = d[1] if len(kept) == len(parts) else "\n".join(x for p in kept for x in p)
-        if len(kept) == len(parts) or words_of(text):
+        lines, chunks = cut[k]
+        gone = set()
+        for c, (a, b) in enumerate(chunks):
+            where = first.get(tuple(lines[a:b]))
+            if where is None or where == (k, c):
+                continue
+            others, places = cut[where[0]]
+            gone |= set(range(a, b))
+            low, high = chunks[max(c - 2, 0)][0], chunks[min(c + 2, len(chunks) - 1)][1]
+            x, y = places[where[1]]
+            low_1, high_1 = places[max(where[1] - 2, 0)][0], places[min(where[1] + 2, len(places) - 1)][1]
+            while a > low and x > low_1 and lines[a - 1] == others[x - 1]:
+                a, x = a - 1, x - 1
+                gone.add(a)
+            while b < high and y < high_1 and lines[b] == others[y]:
+                gone.add(b)
+                b, y = b + 1, y + 1
+        text = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        if not gone or words_of(text):
             out.append((d[0], text, *d[2:]))
     return out
 

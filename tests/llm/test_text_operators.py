@@ -284,6 +284,17 @@ def test_cutoffs_hold_false_rejections(spark):
     assert kept >= set(range(9000, 9020))  # a stratum without labels has base rules only
 
 
+def test_cutoffs_hold_for_the_verdict_of_all_rules(spark):
+    """Three rules that would each reject half of what is allowed reject too much together."""
+    damage = [lambda t: t.replace(" ", " ## "), lambda t: t.replace(" ", "! "), lambda t: t.replace(" ", "x" * 30 + " ")]
+    good = [(i, damage[i % 3](prose(i, 40)) if i < 120 else prose(i, 40), "en", "s", 1) for i in range(6000)]
+    frame = spark.createDataFrame(good, DOCS).withColumn("lang", F.lit("ignored")).withColumn("cut_symbols", F.lit(0.0))
+    labels = spark.createDataFrame([(i, 1) for i in range(6000)], "doc_id long, quality int")
+    assert quality.judge(frame, labels).where("not kept").count() <= 60
+    half = frame.select(quality._half(F.col("doc_id")).alias("h")).groupBy("h").count().collect()
+    assert {r.h for r in half} == {0, 1} and min(r["count"] for r in half) > 2800
+
+
 def test_quality_of_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1), (7, 0), (None, 1)], "doc_id long, quality int")
     judged = quality.judge(odd, labels)
@@ -314,6 +325,25 @@ def test_lines_shift_resistant_and_kept_once(spark):
     assert rows(linechunks.dedup_lines(frame.limit(0))) == []
 
 
+def test_lines_of_runs_and_around_chunks(spark):
+    run, body = "| a | b |", "\n".join(prose(i, 30) for i in range(40))
+    docs = [(1, "\n".join([prose(91, 5)] + [run] * 9 + [prose(92, 5)])),
+            (2, "\n".join([prose(93, 5)] * 1 + [run] * 400 + [prose(94, 5)])),
+            (3, body), (4, "\n".join([prose(95, 5), body, prose(96, 5)])), (4, "\n".join([prose(97, 5), body])),
+            (5, "\n".join(prose(200 + i % 5000, 6) for i in range(20000)))]
+    got = {r.text: r for r in linechunks.dedup_lines(
+        spark.createDataFrame([(d, t, 1, "x") for d, t in docs], "doc_id long, text string, _mark int, start string")).collect()}
+    texts = sorted(got, key=len)
+    assert docs[2][1] in got  # the first occurrence stays whole
+    # a passage with a chunk inside goes from its first line to its last
+    assert "\n".join([prose(95, 5), prose(96, 5)]) in got and prose(97, 5) in got
+    assert sum(t.split("\n").count(run) for t in texts) <= 6
+    long = max(got.values(), key=lambda r: r.n_lines)
+    assert long.n_lines == 20000 and sorted(set(long.text.split("\n"))) == sorted(set(docs[5][1].split("\n")))
+    assert long.n_removed_lines == 15000
+    assert all(set(t.split("\n")) <= {x for _, d in docs for x in d.split("\n")} for t in texts)
+
+
 # --- secret scans ---------------------------------------------------------------------------------
 
 def spans_by_hand(text):

@@ -1,10 +1,11 @@
 """Quality rules whose cutoffs are chosen under a bound on false rejections.
 
-Every rule rejects a text whose statistic passes a cutoff. A cutoff from the rule's fixed
-grid is used in a stratum only if the labelled good texts of that stratum show, by the exact
-binomial bound, that it rejects at most ``false_rejections`` of good texts; the error level is
-shared among all cutoffs of all rules and strata (Bonferroni), so all chosen cutoffs hold
-together with the stated confidence. The grid is not fitted to the labels.
+Every rule rejects a text whose statistic passes a cutoff. The labelled good texts are split by
+a hash of the doc_id into two holdouts. The choosing holdout proposes a few sets of cutoffs from the
+fixed grids, from bold to cautious. The proving holdout tests the verdict of each set, that is, of
+all its rules together: by the exact binomial bound, at most ``false_rejections`` of the good texts
+of a stratum may be rejected. The error level is shared among all sets and strata (Bonferroni), so
+all verdicts hold together with the stated confidence. A stratum uses its boldest proven set.
 """
 
 import math
@@ -26,6 +27,9 @@ RULES = {
     "repeated_words": ("n_repeat_words", "n_words", True, (0.05, 0.1, 0.15, 0.2, 0.25)),
 }
 
+#: The sets of cutoffs aim at these shares of the false rejections allowed, from bold to cautious.
+SHARES = (1.0, 0.5, 0.25, 0.0)
+
 
 def text_statistics(df, text="text"):
     """Add the statistics of the text column; a null text counts as empty.
@@ -96,34 +100,61 @@ def binomial_tail(k, n, p):
     return F.coalesce(total, F.lit(1.0))
 
 
+def _rejected(cutoffs):
+    """Whether any rule rejects, given the column with its cutoff for each rule (null: unused)."""
+    verdict = F.lit(False)
+    for rule in RULES:
+        verdict = verdict | F.coalesce(_passes(rule, cutoffs[rule]), F.lit(False))
+    return verdict
+
+
+def _half(doc_id):
+    """0: the choosing holdout, 1: the proving one."""
+    return F.conv(F.substring(F.md5(doc_id.cast("string")), 1, 8), 16, 10).cast("long") % 2
+
+
 def choose_cutoffs(statistics, labels, stratum="lang", false_rejections=0.01, error=0.05):
     """One row per stratum of labelled good texts: stratum and ``cut_<rule>`` (null: rule unused).
 
     ``labels`` has doc_id and quality; conflicting or repeated labels of a document count as one
     good label if any is 1. Texts that fail the base rules are left out, as no learnt rule
-    decides on them. A null stratum is a stratum of its own.
+    decides on them. A null stratum is a stratum of its own. In the set of share s a rule takes its
+    boldest cutoff that rejects at most s * ``false_rejections`` / rules of the choosing holdout.
     """
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good")).distinct()
-    held = statistics.join(good, F.col("doc_id") == F.col("_good"), "left_semi").where("not base_failed")
+    held = stage(statistics.join(good, F.col("doc_id") == F.col("_good"), "left_semi").where("not base_failed")
+                 .withColumn("_half", _half(F.col("doc_id"))).withColumn("_stratum", F.col(stratum)))
     counts = {f"{rule}_{i}": F.count_if(F.coalesce(_passes(rule, c), F.lit(False)))
               for rule, (_, _, _, grid) in RULES.items() for i, c in enumerate(grid)}
-    counted = stage(held.groupBy(F.col(stratum).alias("stratum")).agg(
-        F.count("*").alias("n"), *[v.alias(k) for k, v in counts.items()]))
-    level = error / max(counted.count() * len(counts), 1)
-    chosen = {}
-    for rule, (_, _, high, grid) in RULES.items():
-        safe = F.array(*[F.when(binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), false_rejections) <= level,
-                                F.lit(float(c))) for i, c in enumerate(grid)])
-        chosen[f"cut_{rule}"] = (F.array_min if high else F.array_max)(safe)
-    return stage(counted.select("stratum", *[v.alias(k) for k, v in chosen.items()]))
+    counted = held.where("_half = 0").groupBy(F.col("_stratum").alias("stratum")).agg(
+        F.count("*").alias("n"), *[v.alias(k) for k, v in counts.items()])
+    proposed = []
+    for k, share in enumerate(SHARES):
+        allowed = F.col("n") * (share * false_rejections / len(RULES))
+        for rule, (_, _, high, grid) in RULES.items():
+            safe = F.array(*[F.when(F.col(f"{rule}_{i}") <= allowed, F.lit(float(c))) for i, c in enumerate(grid)])
+            proposed.append((F.array_min if high else F.array_max)(safe).alias(f"set{k}_{rule}"))
+    sets = stage(counted.select("stratum", *proposed))
+    failed = [F.count_if(_rejected({rule: F.col(f"set{k}_{rule}") for rule in RULES})).alias(f"failed{k}")
+              for k in range(len(SHARES))]
+    proving = (held.where("_half = 1").join(sets, F.col("_stratum").eqNullSafe(F.col("stratum")))
+               .groupBy("stratum").agg(F.count("*").alias("n"), *failed))
+    level = error / max(sets.count() * len(SHARES), 1)
+    proven = F.coalesce(*[F.when(binomial_tail(F.col(f"failed{k}"), F.col("n"), false_rejections) <= level, F.lit(k))
+                          for k in range(len(SHARES))])
+    best = proving.select(F.col("stratum").alias("_proven"), proven.alias("_best"))
+    joined = sets.join(best, F.col("stratum").eqNullSafe(F.col("_proven")), "left")
+    return stage(joined.select("stratum", *[
+        F.get(F.array(*[F.col(f"set{k}_{rule}") for k in range(len(SHARES))]), F.col("_best")).alias(f"cut_{rule}")
+        for rule in RULES]))
 
 
 def judge(docs, labels, stratum="lang", **options):
     """One row per input row: doc_id, the statistics, base_failed and kept.
 
     Needs doc_id, text and the stratum column. ``kept`` is false for base failures and for texts
-    that pass a chosen cutoff of their stratum; a stratum without enough labels has no chosen
-    cutoff, so only the base rules act there. The table of cutoffs has one row per stratum; it is
+    that pass a cutoff of their stratum's proven set; a stratum without enough labels has no proven
+    set, so only the base rules act there. The table of cutoffs has one row per stratum; it is
     written, so that Spark sees its size before it decides how to join it.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(stratum).cast("string").alias(stratum),
@@ -131,9 +162,7 @@ def judge(docs, labels, stratum="lang", **options):
     statistics = stage(text_statistics(rows).drop("text"))
     cutoffs = choose_cutoffs(statistics, labels, stratum, **options)
     judged = statistics.join(cutoffs, F.col(stratum).eqNullSafe(F.col("stratum")), "left")
-    rejected = F.lit(False)
-    for rule in RULES:
-        rejected = rejected | F.coalesce(_passes(rule, F.col(f"cut_{rule}")), F.lit(False))
+    rejected = _rejected({rule: F.col(f"cut_{rule}") for rule in RULES})
     return judged.withColumn("kept", ~F.col("base_failed") & ~rejected).drop(
         stratum, "stratum", *[f"cut_{rule}" for rule in RULES])
 

@@ -55,44 +55,67 @@ FROM d LEFT JOIN lists USING (doc_id)"""
 
 
 def line_sql():
-    return """
+    def agreeing(lines, others):
+        return (f"coalesce(list_min(list_transform(range(1, len({lines}) + 1), lambda k: "
+                f"CASE WHEN {lines}[k] IS DISTINCT FROM {others}[k] THEN k - 1 END)), len({lines}))")
+
+    return f"""
 WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
 hashed AS (SELECT *, CAST('0x' || left(md5(line), 15) AS BIGINT) % 2147483647 AS h FROM lines),
-rolled AS (SELECT *, (coalesce(lag(h) OVER w, 0) * 1103515245 + h) % 2147483647 AS r FROM hashed
+rolled AS (SELECT *, (coalesce(lag(h) OVER w, 0) * 1103515245 + h) % 2147483647 AS r,
+    coalesce(h = lag(h) OVER w, false) AS like_last, coalesce(h = lead(h) OVER w, false) AS like_next FROM hashed
   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-marked AS (SELECT *, CASE WHEN i = 1 OR (r < lag(r) OVER w AND r < coalesce(lead(r) OVER w, 2147483647))
-    THEN 1 ELSE 0 END AS opens FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+marked AS (SELECT *, CASE WHEN i = 1 THEN 1 WHEN like_last THEN CAST(like_next AND i % 2 = 1 AS INT)
+    ELSE CAST(like_next OR coalesce(lag(like_last) OVER w, false)
+      OR (r < lag(r) OVER w AND r < coalesce(lead(r) OVER w, 2147483647)) AS INT) END AS opens
+  FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 placed AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM marked),
-chunks AS (SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
-  FROM placed GROUP BY doc_id, chunk),
-judged AS (SELECT *, n > 1 AND length(body) >= 20 AND regexp_matches(body, '[^\\x20\\x09-\\x0D]')
-    AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, chunk) > 1 AS gone FROM chunks)
+chunks AS (SELECT doc_id, chunk, min(i) AS start, count(*) AS n, list(line ORDER BY i) AS ls,
+    list(line ORDER BY i DESC) AS back, string_agg(line, chr(10) ORDER BY i) AS body FROM placed GROUP BY doc_id, chunk),
+around AS (SELECT *, coalesce(lag(back) OVER w, []) || coalesce(lag(back, 2) OVER w, []) AS before,
+    coalesce(lead(ls) OVER w, []) || coalesce(lead(ls, 2) OVER w, []) AS after
+  FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY chunk)),
+ranked AS (SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS doc_1, first_value(chunk) OVER w AS chunk_1
+  FROM around WHERE n > 1 AND regexp_matches(body, '[^\\x20\\x09-\\x0D]')
+  WINDOW w AS (PARTITION BY body ORDER BY doc_id, chunk ROWS UNBOUNDED PRECEDING)),
+grown AS (SELECT c.doc_id, c.start - {agreeing('c.before', 'f.before')} AS low,
+    c.start + c.n + {agreeing('c.after', 'f.after')} AS high
+  FROM ranked c JOIN around f ON f.doc_id = c.doc_1 AND f.chunk = c.chunk_1 WHERE c.place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(low, high)) AS i FROM grown),
+judged AS (SELECT doc_id, line, i, gone.i IS NOT NULL AS gone FROM lines LEFT JOIN gone USING (doc_id, i))
 SELECT d.doc_id, CAST(coalesce(j.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(j.removed, 0) AS BIGINT) AS n_removed_lines,
   sha256(coalesce(j.body, '')) AS kept_sha256
-FROM documents d LEFT JOIN (SELECT doc_id, sum(n) AS n_lines, sum(n) FILTER (gone) AS removed,
-    string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone) AS body FROM judged GROUP BY doc_id) j USING (doc_id)"""
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS removed,
+    string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS body FROM judged GROUP BY doc_id) j USING (doc_id)"""
 
 
 def quality_sql(false_rejections=0.01, error=0.05):
-    tests = sum(len(grid) for *_, grid in quality.RULES.values())
+    shares = quality.SHARES
 
     def passes(rule, cutoff):
         above, below, high, _ = quality.RULES[rule]
         return f"(CAST({above} AS DOUBLE) / nullif({below}, 0) {'>' if high else '<'} {cutoff})"
 
+    def rejected(prefix):
+        return " OR ".join(f"coalesce({passes(rule, f'{prefix}_{rule}')}, false)" for rule in quality.RULES)
+
     counts = ", ".join(f"count(*) FILTER {passes(rule, c).replace('(', '(WHERE ', 1)} AS {rule}_{i}"
                        for rule, (*_, grid) in quality.RULES.items() for i, c in enumerate(grid))
     p = repr(false_rejections)
-
-    def tail(k):
-        return (f"CASE WHEN {k} > n * {p} THEN 1.0 ELSE list_sum(list_transform(range(0, {k} + 1), lambda i: exp("
-                f"lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) END")
-
-    cuts = ", ".join(
-        f"{'list_min' if high else 'list_max'}([{', '.join(f'CASE WHEN {tail(f"{rule}_{i}")} <= {error!r} / ({tests} * strata) THEN {float(c)!r} END' for i, c in enumerate(grid))}]) AS cut_{rule}"
-        for rule, (_, _, high, grid) in quality.RULES.items())
-    rejected = " OR ".join(f"coalesce({passes(rule, f'cut_{rule}')}, false)" for rule in quality.RULES)
+    sets = []
+    for k, share in enumerate(shares):
+        allowed = f"n * {share * false_rejections / len(quality.RULES)!r}::DOUBLE"
+        for rule, (_, _, high, grid) in quality.RULES.items():
+            safe = ", ".join(f"CASE WHEN {rule}_{i} <= {allowed} THEN {float(c)!r} END" for i, c in enumerate(grid))
+            sets.append(f"{'list_min' if high else 'list_max'}([{safe}]) AS set{k}_{rule}")
+    failed = ", ".join(f"count(*) FILTER (WHERE {rejected(f'set{k}')}) AS failed{k}" for k in range(len(shares)))
+    proven = " ".join(
+        f"WHEN failed{k} <= n * {p} AND list_sum(list_transform(range(0, failed{k} + 1), lambda i: exp(lgamma(n + 1) "
+        f"- lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) "
+        f"<= {error!r} / ({len(shares)} * strata) THEN {k}" for k in range(len(shares)))
+    cuts = ", ".join(f"CASE best {' '.join(f'WHEN {k} THEN set{k}_{rule}' for k in range(len(shares)))} END AS cut_{rule}"
+                     for rule in quality.RULES)
     return f"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS body, {WORDS} AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
@@ -110,11 +133,16 @@ s AS (SELECT d.doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
     CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN covered USING (doc_id)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s),
-good AS (SELECT lang, count(*) AS n, {counts} FROM judged
-  WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY lang),
-cuts AS (SELECT lang, {cuts} FROM (SELECT *, count(*) OVER () AS strata FROM good))
+good AS (SELECT *, CAST('0x' || left(md5(CAST(doc_id AS VARCHAR)), 8) AS BIGINT) % 2 AS half FROM judged
+  WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+sets AS (SELECT lang, {', '.join(sets)}
+  FROM (SELECT lang, count(*) AS n, {counts} FROM good WHERE half = 0 GROUP BY lang)),
+tested AS (SELECT sets.lang, count(*) AS n, {failed}
+  FROM good JOIN sets ON good.lang IS NOT DISTINCT FROM sets.lang WHERE half = 1 GROUP BY sets.lang),
+bests AS (SELECT lang, CASE {proven} END AS best FROM tested, (SELECT count(*) AS strata FROM sets)),
+cuts AS (SELECT sets.lang, {cuts} FROM sets LEFT JOIN bests ON sets.lang IS NOT DISTINCT FROM bests.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ({rejected}) AS kept
+  NOT base_failed AND NOT ({rejected('cut')}) AS kept
 FROM judged LEFT JOIN cuts ON judged.lang IS NOT DISTINCT FROM cuts.lang"""
 
 
