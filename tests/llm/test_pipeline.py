@@ -174,6 +174,18 @@ def test_every_stage_by_hand(spark, folder):
     assert {r["doc_id"]: r["mix_probability"] for r in mixed.collect()} == pytest.approx(chosen, abs=1e-8)
 
 
+def test_mixing_replaces_its_columns(spark, folder):
+    docs = _read(spark, folder).withColumn("mix_topic", F.lit(1)).withColumn("mix_weight", F.lit("x"))
+    mixed = corpus_pipeline.source_mixing(spark, docs, folder)
+    assert sorted(mixed.columns) == sorted({*docs.columns, "mix_topic", "mix_probability", "mix_weight"})
+    assert dict(mixed.dtypes)["mix_topic"] == "string" and dict(mixed.dtypes)["mix_weight"] == "double"
+    assert mixed.where("mix_weight >= 1").count() == mixed.count() > 0
+
+
+def _read(spark, folder):
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
 def test_empty_corpus(spark, tmp_path):
     for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string"),
                          ("labels", "doc_id long, quality int, toxic int")):

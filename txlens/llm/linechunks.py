@@ -97,7 +97,7 @@ def repeated_spans(docs):
                 _places(F.col("_lines")), lambda c: c["end"] - c["start"] > 1)).alias("c"))
             .withColumn("_text", F.array_join(_cut(F.col("c.start"), F.col("c.end")), "\n"))
             .where(F.col("_text").rlike("[^\\x20\\x09-\\x0D]"))
-            .select("doc_id", "_mark", "c.*", F.md5("_text").alias("digest")))
+            .select("doc_id", "_mark", "c.*", F.unhex(F.md5("_text")).alias("digest")))
     seen = stage(seen.where("doc_id is not null"))
     # written, as is what is held, so that the join with a chunk of all documents can be split
     firsts = stage(seen.groupBy("digest").agg(F.min(F.struct("doc_id", "_mark", "start")).alias("first"),
@@ -135,10 +135,11 @@ def dedup_lines(docs):
     """
     gone = repeated_spans(docs).select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_gone_mark"), "gone")
     text = F.col("text").cast("string")
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                         F.xxhash64(text).alias("_mark"), F.struct("*").alias("_row"))
+    # the text travels once, inside its row
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_mark"),
+                         F.struct("*").alias("_row"))
     cut = (packed.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("_mark") == F.col("_gone_mark")), "left")
-           .withColumn("_lines", _lines()))
+           .withColumn("text", F.col("_row.text").cast("string")).withColumn("_lines", _lines()))
 
     def left_over(bound):
         lines, spans = bound["lines"], bound["gone"]
