@@ -407,6 +407,52 @@ def test_licenses(spark):
     assert rows(licenses.licenses(frame.limit(0))) == []
 
 
+def windows_by_hand(text, name, least=0.8):
+    """Dice and first word of the best window of the template's length, over every place of the text."""
+    def split(x):
+        return re.sub(r"[\W_]+", " ", x.lower()).split()
+
+    model = split(licenses.TEMPLATES[name])
+    target, words = set(zip(model, model[1:])), split(text)
+    found = []
+    for i in range(len(words) - 1):
+        if (words[i], words[i + 1]) in target:
+            part = words[i:i + len(model)]
+            held = set(zip(part, part[1:]))
+            found.append((-2.0 * len(held & target) / (len(held) + len(target)), i))
+    dice, at = min(found, default=(0, 0))
+    return (at, -dice) if -dice >= least else None
+
+
+def test_license_windows(spark):
+    def wrapped(name, width):
+        words = licenses.TEMPLATES[name].split()
+        return "\n".join(" ".join(words[i:i + width]) for i in range(0, len(words), width))
+
+    damaged = licenses.TEMPLATES["MIT-text"].replace("sublicense", "sell again").replace("merchantability", "")
+    docs = [(1, prose(1, 50) + "\n" + wrapped("MIT-text", 11) + "\n" + prose(2, 50)),
+            (2, "Copyright someone. " + licenses.TEMPLATES["MIT-grant"] + " and " + prose(3, 40)),
+            (3, prose(4, 30) + " released under the MIT License. " + prose(5, 30)),
+            (4, prose(6, 9) + "\n" + wrapped("BSD-2-Clause-text", 9) + "\n" + wrapped("ISC-text", 7)),
+            (5, prose(7, 20) + "\n" + damaged), (6, " ".join(licenses.TEMPLATES["MIT-text"].split()[::-1])),
+            (7, "released under the " * 200), (8, None), (9, prose(8, 3000) + " " + wrapped("GPL-3.0-notice", 8)),
+            (10, ("\n" + wrapped("Apache-2.0-notice", 10)) * 3), (11, "Permission is hereby granted"),
+            (None, prose(9, 30) + " released under the MIT License twice, released under the MIT License " + prose(10, 9))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("word", F.lit(1)).withColumn("dice", F.lit("x"))
+    hits = licenses.license_hits(frame).collect()
+    plain = {(r.doc_id, r.license) for r in hits if r.line != licenses.WINDOW}
+    expected = {(i, name): at for i, text in docs for name in licenses.TEMPLATES
+                if (at := windows_by_hand(text or "", name)) and (i, name) not in plain}
+    got = [r for r in hits if r.line == licenses.WINDOW]
+    assert {(r.doc_id, r.license): (r.word, r.dice) for r in got} == expected and len(got) == len(expected)
+    assert {(1, "MIT-text"), (1, "MIT-grant"), (2, "MIT-grant"), (3, "MIT"), (4, "ISC-text"),
+            (9, "GPL-3.0-notice"), (None, "MIT")} <= set(expected) and not {6, 7, 8, 11} & {i for i, _ in expected}
+    assert (4, "BSD-2-Clause-text") in plain  # most of the whole text
+    assert (5, "MIT-text") in plain | set(expected) and (10, "Apache-2.0-notice") in plain | set(expected)
+    assert rows(licenses.licenses(frame, templates={})) == rows(licenses.licenses(frame, templates={"one": "word"}))
+    assert {r.doc_id: r.license for r in licenses.licenses(frame).collect()}[1] in ("MIT-text", "MIT-grant")
+
+
 # --- tool calls ---------------------------------------------------------------------------------------
 
 def test_tool_calls(spark):

@@ -148,21 +148,32 @@ FROM judged LEFT JOIN cuts ON judged.lang IS NOT DISTINCT FROM cuts.lang"""
 
 def licenses_sql(least=0.8):
     share = least / (2 - least)
-    known = licenses.template_bigrams(licenses.TEMPLATES)
-    listed = ", ".join(f"({_quoted(n)}, [{', '.join(_quoted(x) for x in b)}])" for n, b in known.items())
+    known, lengths = licenses.template_bigrams(licenses.TEMPLATES), licenses.template_lengths(licenses.TEMPLATES)
+    listed = ", ".join(f"({_quoted(n)}, {lengths[n]}, [{', '.join(_quoted(x) for x in b)}])" for n, b in known.items())
     return f"""
 WITH d AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS body FROM documents),
 units AS (SELECT doc_id, -1 AS line, replace(body, chr(10), ' ') AS unit FROM d WHERE contains(body, chr(10))
   UNION ALL SELECT doc_id, generate_subscripts(string_split(body, chr(10)), 1) - 1, unnest(string_split(body, chr(10))) FROM d),
 bigrams AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
   FROM (SELECT doc_id, line, list_filter(string_split(unit, ' '), lambda x: x <> '') AS w FROM units) WHERE len(w) >= 2),
-templates(name, t) AS (VALUES {listed}),
-hits AS (SELECT DISTINCT doc_id, line, name,
+templates(name, n, t) AS (VALUES {listed}),
+plain AS (SELECT DISTINCT doc_id, line, NULL::INTEGER AS word, name,
     2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS dice
   FROM bigrams, templates WHERE len(b) BETWEEN len(t) * {share!r}::DOUBLE AND len(t) / {share!r}::DOUBLE),
+texts AS (SELECT row_number() OVER () AS rid, doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS p
+  FROM (SELECT doc_id, list_filter(string_split(replace(body, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM d)),
+places AS (SELECT rid, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM texts),
+starts AS (SELECT rid, i, name, n, t FROM places JOIN (SELECT name, n, t, unnest(t) AS x FROM templates) USING (x)),
+windows AS (SELECT rid, doc_id, i, name, 2.0::DOUBLE * len(list_intersect(list_distinct(p[i:i + n - 2]), t))
+    / (len(list_distinct(p[i:i + n - 2])) + len(t)) AS dice FROM starts JOIN texts USING (rid)),
+inside AS (SELECT DISTINCT doc_id, -2 AS line, i - 1 AS word, name, dice FROM (SELECT *,
+    row_number() OVER (PARTITION BY rid, name ORDER BY dice DESC, i) AS place FROM windows) b WHERE place = 1
+  AND NOT EXISTS (SELECT 1 FROM plain WHERE plain.doc_id = b.doc_id AND plain.name = b.name AND plain.dice >= {least})),
+hits AS (SELECT * FROM plain UNION ALL SELECT * FROM inside),
 ranked AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_hits,
-    row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, name, line) AS place FROM hits WHERE dice >= {least})
-SELECT d.doc_id, CAST(coalesce(n_hits, 0) AS BIGINT) AS n_hits, name AS license, CAST(line AS INTEGER) AS line, dice
+    row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, name, line = -2, line, word) AS place FROM hits WHERE dice >= {least})
+SELECT d.doc_id, CAST(coalesce(n_hits, 0) AS BIGINT) AS n_hits, name AS license, CAST(line AS INTEGER) AS line,
+  CAST(word AS INTEGER) AS word, dice
 FROM d LEFT JOIN ranked r ON d.doc_id = r.doc_id AND place = 1"""
 
 
