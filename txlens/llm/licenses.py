@@ -185,10 +185,13 @@ def license_hits(docs, templates=None, least=0.8):
         listed = None
         df = df.where(F.lit(False))
     body_words = _words(F.translate("body", "\n", " "))
-    df = df.withColumn("held", F.array_intersect(body_words, vocabulary)).where(F.size("held") >= fewest)
     if listed is None:
         return df.select("doc_id", F.lit(0).alias("line"), F.lit(0).alias("word"), F.lit("").alias("license"), F.lit(0.0).alias("dice"))
-    names = F.transform(F.filter(listed, lambda t: perhaps(t, F.col("held"))), lambda t: t["name"])
+    def possible(held):
+        return F.when(F.size(held) >= fewest, F.transform(F.filter(listed, lambda t: perhaps(t, held)), lambda t: t["name"]))
+
+    # bound, or the words would be split again for every template
+    names = once(F.array_intersect(body_words, vocabulary), possible)
     # the few texts that may match are written, as lines and windows are both looked at
     df = stage(df.withColumn("names", names).where(F.size("names") > 0).select("doc_id", "body", "names"))
     df = df.select("doc_id", "body", F.filter(listed, lambda t: F.array_contains("names", t["name"])).alias("fit"))
