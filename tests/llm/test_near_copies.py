@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -145,3 +146,35 @@ def test_pairs_that_fingerprints_missed(spark):
     assert simhash.near_duplicates(frame).select("component_id").distinct().count() > 1
     got = corpus_pipeline.near_dedup(spark, frame, None)
     assert {r.doc_id for r in got.collect()} == least_of_groups(docs) == {0}
+
+
+def test_fingerprints_link_what_is_near_and_within_three_bits(spark):
+    """Every near pair of different fingerprints at most three bits apart is found by the pigeonring chains."""
+    rng = random.Random(12)
+    sets = []
+    for size in (3, 30, 300, 900):
+        base = {rng.getrandbits(62) for _ in range(size)}
+        for lost in range(6):
+            sets.append({x for i, x in enumerate(sorted(base)) if i >= lost * size // 100 or i == size - 1} | {rng.getrandbits(62) for _ in range(lost // 3)})
+    sets = [set(s) for s in dict.fromkeys(map(frozenset, sets))]
+    prints = [sum((2 * sum(x >> k & 1 for x in s) > len(s)) << k for k in range(64)) for s in sets]
+    signed = [b - (1 << 64) if b >> 63 else b for b in prints]
+    assert signed == [simhash.majority(np.array(sorted(s), np.uint64)) for s in sets]
+    frame = nearcopies.stage(spark.createDataFrame(
+        [(i, len(s), b, sorted(s)) for i, (s, b) in enumerate(zip(sets, signed))],
+        "node long, size long, bits long, shingles array<long>"))
+    first = {b: prints.index(b) for b in prints}
+    within = {(i, j) for j in range(len(sets)) for i in range(j) if near(sets[i], sets[j]) and (
+        first[prints[j]] == i if prints[i] == prints[j] else
+        first[prints[i]] == i and first[prints[j]] == j and (prints[i] ^ prints[j]).bit_count() <= 3)}
+    assert len(within) > 5
+    assert {(r["a"], r["b"]) for r in nearcopies.fingerprint_links(frame).collect()} == within
+
+
+def test_the_stage_links_by_fingerprints(spark, monkeypatch):
+    asked = []
+    search = simhash.links
+    monkeypatch.setattr(simhash, "links", lambda different, distance=3: asked.append(different) or search(different, distance))
+    docs = [(i, edited(random.Random(i), prose(500, 400), 1)) for i in range(6)]
+    corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, "doc_id long, text string"), None)
+    assert len(asked) == 1 and asked[0].count() > 1

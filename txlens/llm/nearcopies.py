@@ -6,18 +6,20 @@ most a ninth of their sizes' sum; that gives filters that lose no pair:
 1. A set with more than a fifth of its shingles in no other text has no near copy. This is
    first found from the shingles of the lowest hashes, the same share of all texts; most texts
    end here. The others are shingled again and counted in full.
-2. Ordered by how rare they are, the first fifth (and one) of two near sets have a shingle in
+2. SimHash fingerprints of the sets are linked by pigeonring chains (see ``simhash``), and the
+   Jaccard of the linked sets is counted. These are links, but not all of them: a Jaccard of
+   0.8 is about ten bits of 64, beyond the chains' three. The next steps find the others.
+3. Ordered by how rare they are, the first fifth (and one) of two near sets have a shingle in
    common. So texts are looked at together only under their rare shared shingles.
-3. Under such a shingle, all texts are compared with one of them, the one with the fewest
+4. Under such a shingle, all texts are compared with one of them, the one with the fewest
    shingles of its own. Those near to it are in one group and need no further comparison.
-4. A text that is not near to its leader is near to another one of the leader's texts only if
+5. A text that is not near to its leader is near to another one of the leader's texts only if
    their differences from the leader overlap. How much is known from the sizes; so the same
    rule of rare first parts holds for the differences, which are small where texts are alike.
-   Only pairs that pass it are compared.
+   Only pairs that pass it, and that the fingerprints have not linked, are compared.
 
 So a large group of close texts costs a comparison a text and the few pairs whose differences
-from the leader agree, not all pairs. 64-bit fingerprints have no filter at this similarity: a
-Jaccard of 0.8 is about ten bits.
+from the leader agree, not all pairs.
 """
 
 import numpy as np
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from txlens.llm import simhash
 from txlens.llm.graphs import components
 from txlens.llm.textkit import U64, Rolling, Words, mixed, pieces
 from txlens.staging import stage
@@ -60,7 +63,7 @@ def _texts(docs):
 
 
 def _sets(texts, shingle, sample=None):
-    """``doc_id, key, node, size, shingles``; with ``sample`` only one of so many shingles."""
+    """``doc_id, key, node, size, bits, shingles``; with ``sample`` only one of so many shingles and no fingerprint."""
     bound = U64((1 << 64) // sample) if sample else None
 
     def run(batches):
@@ -71,10 +74,11 @@ def _sets(texts, shingle, sample=None):
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"), piece.column("key"), pa.array([_digest(s) for s in sets], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([simhash.majority(s) if bound is None else None for s in sets], pa.int64()),
                 pa.array([s.view(np.int64) for s in held], pa.list_(pa.int64()))],
-                ["doc_id", "key", "node", "size", "shingles"])
+                ["doc_id", "key", "node", "size", "bits", "shingles"])
 
-    return texts.mapInArrow(run, "doc_id long, key long, node long, size long, shingles array<long>")
+    return texts.mapInArrow(run, "doc_id long, key long, node long, size long, bits long, shingles array<long>")
 
 
 def _perhaps_near(named):
@@ -145,24 +149,40 @@ def _near(sets, pairs):
     return both.where(NINTH * differ <= total).select("a", "b")
 
 
+def fingerprint_links(sets):
+    """Near pairs (a, b), ``a < b``, among sets of equal fingerprints or linked by pigeonring chains.
+
+    Sets of one fingerprint are compared with the first of them, and the first ones with each other.
+    """
+    first = stage(sets.groupBy("bits").agg(F.min("node").alias("first")))
+    same = sets.join(first, "bits").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    close = simhash.links(first.select("bits")).withColumnsRenamed({"a": "a_bits", "b": "b_bits"})
+    across = (close.join(first.select(F.col("bits").alias("a_bits"), F.col("first").alias("x")), "a_bits")
+              .join(first.select(F.col("bits").alias("b_bits"), F.col("first").alias("y")), "b_bits")
+              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    return _near(sets, stage(same.union(across)))
+
+
 def links(docs, shingle=SHINGLE):
     """``doc_id, key, node`` of the texts, and ``node, root`` of the nodes in a group with others."""
-    named = stage(_sets(_texts(docs), shingle, SAMPLE))
+    named = stage(_sets(_texts(docs), shingle, SAMPLE).drop("bits"))
     left = stage(_perhaps_near(named))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     chosen = named.join(left.select("node"), "node", "left_semi").groupBy("node").agg(F.min(first).alias("first"))
     chosen = stage(chosen.select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key")))
     texts = _texts(docs)
     texts = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["_id"]) & (texts["key"] == chosen["_key"]), "left_semi")
-    sets = stage(_sets(texts, shingle).select("node", "size", "shingles").dropDuplicates(["node"]))
+    sets = stage(_sets(texts, shingle).select("node", "size", "bits", "shingles").dropDuplicates(["node"]))
+    printed = stage(fingerprint_links(sets))
     rare = stage(_under_rare_shingles(sets))
     leads = stage(rare.groupBy("shingle").agg(F.min(F.struct("share", "node")).alias("lead"), F.count("*").alias("n"))
                   .where("n > 1").select("shingle", F.col("lead.node").alias("lead")))
     led = rare.join(leads, "shingle").where("node <> lead").select("lead", "node").distinct()
     deltas = stage(_differences(sets, stage(led)).withColumn(
         "far", NINTH * F.size("delta") > F.col("words") + F.col("lead_size")))
-    pairs = stage(_agreeing(deltas))
-    found = deltas.where("not far").select(F.col("lead").alias("a"), F.col("node").alias("b")).union(_near(sets, pairs))
+    pairs = stage(_agreeing(deltas).join(printed, ["a", "b"], "left_anti"))
+    led_links = deltas.where("not far").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    found = printed.union(led_links).union(_near(sets, pairs))
     return named.select("doc_id", "key", "node"), components(found, "a", "b")
 
 

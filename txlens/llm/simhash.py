@@ -31,8 +31,12 @@ def _fingerprint(words, i, shingle, seed):
     start = words.start[a:last + 1] - words.start[a]
     end = (words.end[a + shingle - 1:b] if b - a >= shingle else words.end[b - 1:b]) - words.start[a]
     text, digest = words.text(i), xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(text[s:e], seed) for s, e in zip(start.tolist(), end.tolist())),
-                         dtype="<u8", count=len(start))
+    return majority(np.fromiter((digest(text[s:e], seed) for s, e in zip(start.tolist(), end.tolist())),
+                                dtype="<u8", count=len(start)))
+
+
+def majority(hashes):
+    """The fingerprint of 64-bit shingle hashes, as a signed long: the bits set in over half of them."""
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), BLOCK):
         block = hashes[k:k + BLOCK].view(np.uint8).reshape(-1, 8)
