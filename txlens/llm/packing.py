@@ -275,7 +275,7 @@ def pack(docs, tokenizer, capacity=CAPACITY, end=END, with_ids=False):
     found = stage(cut(docs, tokenizer, capacity, end, with_ids).withColumn("_row", F.monotonically_increasing_id()))
     counts = {row["length"]: row["count"] for row in found.groupBy("length").count().collect()}
     runs, _ = plan(counts, capacity)
-    numbered = row_number_global(found.withColumn("_shortness", -F.col("length")), ["_shortness", "_row"], "_place")
+    numbered = row_number_global(found.withColumn("_shortness", -F.col("length")), ["_shortness", "_row"], "_place", staged=True)
     shared = docs.sparkSession.sparkContext.broadcast(np.array(runs or [(0,) * 5], np.int64))
     kept = [name for name in numbered.columns if name not in ("_row", "_shortness", "_place")]
 
