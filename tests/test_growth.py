@@ -1,12 +1,18 @@
 """Work that must not grow faster than the table: rows made once, shares of tasks bounded."""
 
+import os
+import time
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from catalog import frames
-from txlens.operators import customers, features, forest, ordering, pages
-from txlens.sources import bucketed, files, retail_tables
+from txlens import staging
+from txlens.operators import customers, features, forest, joins, lookup, ordering, pages
+from txlens.plans import run, stages
+from txlens.sources import bucketed, files, publishing, retail_tables, warehouse
 from txlens.staging import stage
 
 
@@ -106,3 +112,89 @@ def test_one_large_file_is_not_spread(spark, tmp_path):
 def test_featured_rows_come_from_one_run_of_the_joins(spark, small):
     for frame in (frames.featured(spark, small), frames.scored_features(spark, small)):
         assert not any("lineitem" in name for name in frame.inputFiles())
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {path.rsplit("/", 1)[-1] for path in found.mkString("\n").split("\n")}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def left_after(spark, before, seconds=10):
+    """Shuffle files that are there beside those ``before``; Spark removes files in the background."""
+    end = time.time() + seconds
+    while (more := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.1)
+    return more
+
+
+def test_queries_of_a_run_leave_no_shuffle_files(spark, tmp_path):
+    settings = {name: spark.conf.get(name, None) for name in staging.LEAN}
+    before = shuffle_files(spark)
+    with staging.lean_disk(spark):
+        published = publishing.publish(spark.range(5000).repartition(4, "id").withColumn("m", F.col("id") % 3), str(tmp_path / "t"), partition_by="m")
+        assert published.rows == 5000 and spark.read.parquet(published.path).groupBy("m").count().count() == 3
+        assert not left_after(spark, before)
+    with pytest.raises(ZeroDivisionError), staging.lean_disk(spark):
+        1 / 0
+    assert {name: spark.conf.get(name, None) for name in staging.LEAN} == settings
+
+
+def test_steps_of_the_flow_leave_nothing_behind(spark, small, tmp_path, monkeypatch):
+    """At the beginning of each step: no table staged by a step before, no shuffle file of this run, raw rows read first."""
+    before, begun, target = shuffle_files(spark), [], str(tmp_path / "out")
+
+    def step(owner, name):
+        real = getattr(owner, name)
+
+        def run_step(*args, **more):
+            folder = staging.run_folder(spark)
+            staged = os.listdir(folder) if os.path.exists(folder) else []
+            begun.append((name, os.path.exists(f"{target}/layers"), staged, left_after(spark, before)))
+            return real(*args, **more)
+
+        monkeypatch.setattr(owner, name, run_step)
+
+    for owner, name in ((run.cleaning, "cleaning_report"), (run, "build_features"), (run, "detect"), (run, "store"), (files, "write_documents"),
+                        (joins, "positional_join"), (joins, "join_anomalies"), (run, "write_reports")):
+        step(owner, name)
+    run.run_all(retail_tables.retail_raw(spark, small), target, retail_tables.TABLE_LIMITS, ("RowKey",), trees=5)
+    assert begun == [("cleaning_report", False, [], set())] + [(name, True, [], set()) for name in (
+        "build_features", "detect", "store", "write_documents", "positional_join", "join_anomalies", "write_reports")]
+    assert spark.read.option("header", True).csv(f"{target}/reports/00_data_cleaning").count() == 1
+
+
+def staged_columns(monkeypatch):
+    """The columns of every table staged by ``ordering`` from now on."""
+    found = []
+    monkeypatch.setattr(ordering, "stage", lambda df: found.append(df.columns) or stage(df))
+    return found
+
+
+def test_positions_stage_only_what_is_kept(spark, monkeypatch):
+    df = lines(spark, 2000)
+    found = staged_columns(monkeypatch)
+    table = warehouse.conform_warehouse(df, ["RowKey"], created_at=False, staged=True)
+    assert found == [["StockCode", "Quantity", "CustomerID", "TotalPrice", "_id"]]
+    assert table.columns == ["id", "stock_code", "quantity", "customer_id", "total_price"]
+    assert [tuple(r) for r in table.orderBy("id").select("id", "total_price").collect()] == [(i + 1, i * 0.5) for i in range(2000)]
+    found.clear()
+    flagged = lines(spark, 30).withColumn("anomaly", F.lit(1))
+    pairs = joins.positional_join(df.withColumn("UnitPrice", F.lit(1.0)), flagged, ["RowKey"], ["RowKey"], staged=True)
+    assert found == [["Quantity", "UnitPrice", "TotalPrice", "_id"], ["anomaly", "_id"]]
+    assert sorted(tuple(r) for r in pairs.collect()) == [(i + 1, 2.0, 1.0, i * 0.5, 1) for i in range(30)]
+
+
+def test_rows_meet_large_lookups_before_they_grow(spark, small, monkeypatch):
+    rows = stage(frames.cleaned(spark, small))
+    plain = stages.build_features(rows, retail_tables.TABLE_LIMITS, staged=True)
+    wanted, expected = plain.columns, {tuple(r) for r in plain.collect()}
+    monkeypatch.setattr(lookup.attach, "__defaults__", (None, 0, False))
+    shuffled = stages.build_features(rows, retail_tables.TABLE_LIMITS, staged=True)
+    assert wanted == shuffled.columns == [
+        "CustomerID", "StockCode", "Country", "InvoiceNo", "Description", "Quantity", "InvoiceDate", "UnitPrice", "RowKey", "TotalPrice",
+        "Hour", "Day", "MonthNum", "WeekdayNum", "Month", "RevenueCategory", *stages.LOOKED_UP]
+    assert {tuple(r) for r in shuffled.collect()} == expected
+    text = shuffled._jdf.queryExecution().optimizedPlan().toString()
+    below = text[text.index("Join"):]
+    assert below.count("Join") == 3 and not any(name in below for name in ("Hour", "WeekdayNum", "RevenueCategory"))
